@@ -23,3 +23,9 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def spark_session(spark):
+    """For hypothesis tests."""
+    return spark
