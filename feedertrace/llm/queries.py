@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedertrace.llm import packing
+from feedertrace.llm import classifier, lm, packing, pii, quality_rules, simhash
+from feedertrace.llm.text import fold
 from feedertrace.session import read_table
 
 
@@ -12,5 +14,36 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), seq_len=1024, eos_id=2)
 
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing}
-ORACLES: dict[str, str] = {}
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read_table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read_table(spark, sf_dir, "documents"), folds=10, held_out=0)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    weights = classifier.fit(docs, read_table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    found = classifier.score(docs, weights, limit=0.3)
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_pii": op2_pii,
+    "op4_simhash": op4_simhash,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_quality_rules": op7_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
+}
+ORACLES: dict[str, str] = {"op7_quality_rules": quality_rules.SQL}
