@@ -115,7 +115,8 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words[t] = words.get(t, 0) + n
     if not keys:
         return
-    yield pd.DataFrame({"token": list(words), "n": list(words.values()), "shard": pd.array([None] * len(words), dtype="Int32"), "bits": 0, "filter": None})
+    if words:
+        yield pd.DataFrame({"token": list(words), "n": list(words.values()), "shard": pd.array([None] * len(words), dtype="Int32"), "bits": 0, "filter": None})
     keys, counts, shard_of = np.concatenate(keys), np.concatenate(counts), np.concatenate(shard_of)
     order = np.argsort(shard_of, kind="stable")
     names, starts = np.unique(shard_of[order], return_index=True)
@@ -210,7 +211,8 @@ def _ngrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _probe(shards: int):
     def run(key, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = Filter(shards, zip(own["shard"], own["bits"], own["filter"], strict=True))
-        return pd.DataFrame({"key": asked["key"], "level": found.levels(asked["key"].to_numpy().view(np.uint64)) if len(asked) else []})
+        keys = asked["key"].to_numpy(dtype=np.int64)
+        return pd.DataFrame({"key": keys, "level": found.levels(keys.view(np.uint64))})
 
     return run
 
