@@ -97,10 +97,15 @@ def dedup_lines(docs: DataFrame, *, min_words: int = 8) -> DataFrame:
     gone = runs.select("_a", "_b", F.explode(F.sequence("low", "high")).alias("i")).groupBy("_a", "_b").agg(F.collect_set("i").alias("_gone"))
     keyed = docs.drop("n_lines", "n_deleted", "_a", "_b", "_gone").select("*", *_key()).join(gone, ["_a", "_b"], "left").drop("_a", "_b")
     lines = F.split("text", "\n")
-    numbers = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.element_at(lines, i + 1).rlike(_WORD))
-    # Positions among lines with words to positions among all.
-    at = F.transform("_gone", lambda i: F.element_at(numbers, i + 1))
-    kept = F.concat_ws("\n", F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at), lambda i: F.element_at(lines, i + 1)))
+    worded = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(_WORD), i)), lambda i: i.isNotNull())
+
+    def left(own: Column) -> Column:
+        # own: the lines and the places of those with words; bound here, they are made once.
+        gone_at = F.transform("_gone", lambda i: F.element_at(own["worded"], i + 1))
+        at = F.array_except(F.sequence(F.lit(0), F.size(own["lines"]) - 1), gone_at)
+        return F.array_join(F.transform(at, lambda i: F.element_at(own["lines"], i + 1)), "\n")
+
+    kept = F.element_at(F.transform(F.array(F.struct(lines.alias("lines"), worded.alias("worded"))), left), 1)
     out = keyed.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))).withColumn("n_deleted", F.coalesce(F.size("_gone"), F.lit(0)))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "_a", "_b", "_gone")]

@@ -55,7 +55,7 @@ def test_model_prefers_likely_texts_and_both_ways_agree(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     near = {r.doc_id: r.score for r in lm.score_documents(docs).collect()}
     far = {r.doc_id: r.score for r in lm.score_documents(docs, broadcast_bytes=0).collect()}
-    assert near[1] > near[500] > near[501] / 4 * 12 and all(math.isfinite(x) and x <= 0 for x in near.values())
+    assert near[1] > near[500] and all(math.isfinite(x) and x <= 0 for x in near.values())
     assert {k: round(v, 9) for k, v in near.items()} == {k: round(v, 9) for k, v in far.items()}
 
 
