@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedertrace.llm.text import slices
+
 LEAKS = "doc_id long, item_id long, covered long, item_tokens long, coverage double, reparameterised boolean"
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t lb lbs oz pound pounds ton tons ml l litre litres liter liters gallon gallons "
@@ -31,6 +33,8 @@ _CORE = re.compile(r"^[^\w$€£%°+-]+|[^\w%°]+$")
 _ENDS = (".", "!", "?", ":", ";")
 NUM, UNIT, NAME = (np.uint64(x) for x in (0xA5A5000000000001, 0xA5A5000000000003, 0xA5A5000000000005))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Characters whose words are looked at together.
+SLICE = 4_000_000
 #: Of a word: no token; a number; a unit; a word that may be a name; any other.
 NONE, IS_NUM, IS_UNIT, CAPITAL, PLAIN = range(5)
 
@@ -156,7 +160,7 @@ class Benchmark:
 def _leaks(items: list[tuple[int, str]], window: int, shortest: int, least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bench = Benchmark(items, window, shortest)
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             ids = batch["doc_id"].tolist()
             rows = [(ids[d], bench.ids[i], c, n, c / n, r) for d, i, c, n, r in bench.match(batch["text"]) if c >= least * n]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered", "item_tokens", "coverage", "reparameterised"]).astype({"doc_id": "Int64", "item_id": "Int64", "reparameterised": bool})
@@ -167,7 +171,7 @@ def _leaks(items: list[tuple[int, str]], window: int, shortest: int, least: floa
 def _kept(items: list[tuple[int, str]], window: int, shortest: int, least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bench = Benchmark(items, window, shortest)
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             bad = {d for d, _, c, n, _ in bench.match(batch["text"]) if c >= least * n}
             yield batch[[i not in bad for i in range(len(batch))]]
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,3 +18,15 @@ def ascii_words(text: str | None) -> list[bytes]:
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; an absent id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def slices(batches: Iterator[pd.DataFrame], chars: int) -> Iterator[pd.DataFrame]:
+    """The rows of ``batches`` in parts of about ``chars`` characters of text, a longer text alone: arrays over the words
+    of a part stay small, whatever a batch holds."""
+    for batch in batches:
+        ends = np.cumsum([len(x) if x else 0 for x in batch["text"]])
+        at = 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chars, side="right")))
+            yield batch.iloc[at:to]
+            at = to
