@@ -296,7 +296,7 @@ query("pair_daily", "SELECT * FROM daily")(lambda d: d.daily())
 query("ledger_window", 'SELECT badge_a, badge_b, len("values") AS n, round(list_sum("values"), 6) AS total, historical_n, round(historical_mean, 9) AS historical_mean, first_day, last_day FROM ledger')(
     lambda d: ledger.ledger(d.daily()).select("badge_a", "badge_b", F.size("values").alias("n"), F.round(F.reduce("values", F.lit(0.0), lambda s, x: s + x), 6).alias("total"), "historical_n", F.round("historical_mean", 9).alias("historical_mean"), "first_day", "last_day")
 )
-query("ledger_stats", 'SELECT badge_a, badge_b, round(list_avg("values"), 9) AS mean, round(CASE WHEN len("values") < 2 THEN 0 ELSE list_stddev_pop("values") END, 6) AS std, round(CASE WHEN len("values") < 6 THEN 0 ELSE list_avg("values"[len("values") - len("values") // 3 + 1:]) - list_avg("values"[:len("values") // 3]) END, 9) AS trend, len("values") AS n FROM ledger')(
-    lambda d: ledger.stats(ledger.ledger(d.daily())).select("badge_a", "badge_b", F.round("mean", 9).alias("mean"), F.round("std", 6).alias("std"), F.round("trend", 9).alias("trend"), "n")
+query("ledger_stats", 'SELECT badge_a, badge_b, round(list_avg("values"), 9) AS mean, round(CASE WHEN len("values") < 2 THEN 0 ELSE list_stddev_pop("values") END, 6) AS std, round(CASE WHEN len("values") < 6 THEN 0 ELSE list_avg("values"[len("values") - len("values") // 3 + 1:]) - list_avg("values"[:len("values") // 3]) END, 9) + 0 AS trend, len("values") AS n FROM ledger')(
+    lambda d: ledger.stats(ledger.ledger(d.daily())).select("badge_a", "badge_b", F.round("mean", 9).alias("mean"), F.round("std", 6).alias("std"), (F.round("trend", 9) + 0.0).alias("trend"), "n")
 )
 query("cluster_places", "SELECT badge, cluster, row_number() OVER (PARTITION BY cluster ORDER BY badge) AS place FROM new_run")(lambda d: audit.numbered_members(d.new_run))

@@ -14,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events embeddings
 
 
 def plain(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return None
     if hasattr(x, "tolist"):
         return plain(x.tolist())
@@ -24,7 +24,8 @@ def plain(x):
         return x
     if isinstance(x, (int, float)) or type(x).__name__ == "Decimal":
         return float(f"{float(x):.9g}")
-    return str(x)
+    # A date comes as a date from one side and as its midnight from the other.
+    return str(x).removesuffix(" 00:00:00")
 
 
 def rows(frame: pd.DataFrame):
