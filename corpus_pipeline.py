@@ -24,7 +24,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    return simhash.one_of_each(docs, shingle=5, distance=2)
+    return simhash.one_of_each(docs, shingle=5, distance=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ in at most ``distance // segments`` bits. So each class looks up, in each segmen
 Hamming ball, and what it finds is verified over all bits.
 
 A segment value that very many classes share would give pairs without number. Its classes, and those that look it up,
-are linked instead over complete fingerprints: two at ``distance`` 2 or less have a common point within half of that of
-each, so both list their ball of half the radius and meet there. A point has 65 neighbours at most, so no meeting is
-large. Nothing is capped: either way finds every link between its classes.
+are linked instead over complete fingerprints: two at ``distance`` d or less have a common point within d // 2 of one
+and the rest of the other, so both list their balls of these radii and meet there. A point has 65 neighbours at radius
+1 and 2,081 at radius 2, so no meeting is large. Nothing is capped: either way finds every link between its classes.
 """
 
 from __future__ import annotations
@@ -70,7 +70,8 @@ def _signed(mask: int) -> int:
 def links(classes: DataFrame, *, distance: int = 2, segments: int = 2, crowded: int = 64) -> DataFrame:
     """(src, dst) between distinct fingerprints ``fp`` of ``classes`` at ``distance`` or fewer bits, or with a common
     neighbour that both link to. ``crowded``: from how many classes on a segment value is linked the other way."""
-    assert distance // 2 <= 1 and 64 % segments == 0
+    if not (0 <= distance <= 3 and 64 % segments == 0):
+        raise ValueError("links are for distances up to 3 and segments of one width")
     width = 64 // segments
     values = [(F.shiftrightunsigned("fp", i * width) if i else F.col("fp")).bitwiseAND(F.lit((1 << width) - 1).cast("long")) for i in range(segments)]
     table = classes.select("fp", F.posexplode(F.array(*values)).alias("segment", "value"))
@@ -83,10 +84,15 @@ def links(classes: DataFrame, *, distance: int = 2, segments: int = 2, crowded:
     crowd = table.where("crowded").select("fp").union(probes.join(busy, ["segment", "value"], "left_semi").select(F.col("probe").alias("fp"))).distinct()
     quiet = table.where(~F.col("crowded")).select("segment", "value", "fp")
     close = quiet.join(probes, ["segment", "value"]).where((F.col("fp") < F.col("probe")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= distance))
-    near = F.array(*(F.lit(_signed(m)).cast("long") for m in _ball(64, distance // 2)))
-    meet = crowd.select("fp", F.explode(F.transform(near, lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
-    meet = meet.groupBy("point").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    meet = meet.select(F.array_min("fps").alias("src"), F.explode("fps").alias("dst")).where("src < dst")
+    # The smaller radius leads: two that have a point in it meet the larger radius of all others there.
+    lead, rest = distance // 2, distance - distance // 2
+    points = lambda masks: F.transform(F.array(*(F.lit(_signed(m)).cast("long") for m in masks)), lambda m: F.col("fp").bitwiseXOR(m))
+    meet = crowd.select("fp", F.explode(points(_ball(64, lead))).alias("point"), F.lit(True).alias("leads"))
+    if rest > lead:
+        outer = sorted(set(_ball(64, rest)) - set(_ball(64, lead)))
+        meet = meet.union(crowd.select("fp", F.explode(points(outer)).alias("point"), F.lit(False).alias("leads")))
+    meet = meet.groupBy("point").agg(F.collect_list("fp").alias("fps"), F.min(F.when(F.col("leads"), F.col("fp"))).alias("src")).where("size(fps) > 1 AND src IS NOT NULL")
+    meet = meet.select("src", F.explode("fps").alias("dst")).where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
     return close.select(F.col("fp").alias("src"), F.col("probe").alias("dst")).union(meet).distinct()
 
 

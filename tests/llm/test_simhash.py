@@ -32,8 +32,8 @@ def test_fingerprint():
     assert simhash.fingerprint(None) == simhash.fingerprint(" \n\t") == 0
 
 
-@pytest.mark.parametrize("crowded", [64, 2, 0])
-def test_links_reach_what_all_pairs_reach(spark, crowded):
+@pytest.mark.parametrize(("crowded", "distance"), [(64, 2), (2, 2), (0, 2), (64, 3), (0, 3), (2, 1), (0, 0)])
+def test_links_reach_what_all_pairs_reach(spark, crowded, distance):
     rng = random.Random(5)
     values = []
     for _ in range(12):
@@ -45,9 +45,9 @@ def test_links_reach_what_all_pairs_reach(spark, crowded):
     values += [hub ^ 1 << i for i in range(0, 64, 3)]
     values = sorted(set(values))
     signed = [v - 2**64 if v >> 63 else v for v in values]
-    edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), crowded=crowded)
+    edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), crowded=crowded, distance=distance)
     got = {(r.src % 2**64, r.dst % 2**64) for r in edges.collect()}
-    assert all((a ^ b).bit_count() <= 2 for a, b in got)
+    assert all((a ^ b).bit_count() <= distance for a, b in got)
     parent = {v: v for v in values}
 
     def find(x):
@@ -57,7 +57,7 @@ def test_links_reach_what_all_pairs_reach(spark, crowded):
 
     for a, b in got:
         parent[find(a)] = find(b)
-    want = components(values, 2)
+    want = components(values, distance)
     groups = {}
     for v, w in zip(values, want, strict=True):
         groups.setdefault(w, set()).add(find(v))
