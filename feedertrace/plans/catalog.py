@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedertrace.config import Config
 from feedertrace.functions import scalar as fx
+from feedertrace.functions.columns import side_by_side
 from feedertrace.operators import audit, compare, correlate, edges, enrich, history, ledger, signature, spatial
 from feedertrace.session import materialize, read_table
 
@@ -300,3 +301,46 @@ query("ledger_stats", 'SELECT badge_a, badge_b, round(list_avg("values"), 9) AS
     lambda d: ledger.stats(ledger.ledger(d.daily())).select("badge_a", "badge_b", F.round("mean", 9).alias("mean"), F.round("std", 6).alias("std"), (F.round("trend", 9) + 0.0).alias("trend"), "n")
 )
 query("cluster_places", "SELECT badge, cluster, row_number() OVER (PARTITION BY cluster ORDER BY badge) AS place FROM new_run")(lambda d: audit.numbered_members(d.new_run))
+
+# Grids, files of the register, sets.
+query(
+    "slot_grid",
+    "SELECT g.slot, count(e.actual) AS n FROM (SELECT unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM readings), (SELECT date_trunc('day', max(ts)) FROM readings), INTERVAL 1 HOUR)) AS slot) g LEFT JOIN (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS slot, actual FROM readings) e ON e.slot = g.slot GROUP BY g.slot",
+)(lambda d: _slot_grid(d))
+
+
+def _slot_grid(d: Data) -> DataFrame:
+    """Every hour of the days there are, with the readings it has: a grid joined with what lies on it."""
+    ends = d.readings.agg(F.date_trunc("day", F.min("ts")).alias("a"), F.date_trunc("day", F.max("ts")).alias("b"))
+    grid = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias("slot"))
+    own = d.readings.select(F.date_trunc("hour", "ts").alias("slot"), "actual")
+    return grid.join(own.groupBy("slot").agg(F.count("actual").alias("n")), "slot", "left").fillna(0, ["n"])
+
+
+_REGISTER = [f"' ' || CAST({_K} AS STRING) || CASE {_K} % 3 WHEN 0 THEN '.0 ' WHEN 1 THEN '' ELSE ' ' END AS BADGENUMBER", f"CASE {_K} % 5 WHEN 0 THEN 'nan' WHEN 1 THEN '' ELSE CAST({_CELL} AS STRING) || '.0' END AS TRANSFORMERBANKOBJECTID", f"CASE {_K} % 4 WHEN 0 THEN ' ' ELSE 'G' || CAST({_CELL} % 40 AS STRING) END AS TRANSBANKTAG", "c_name AS CCBADDRESS1", "c_mktsegment AS CCBCITY", f"CASE {_K} % 6 WHEN 0 THEN 'east' ELSE CAST({_K} % 90 AS STRING) || '.5' END AS POINT_X", f"CAST({_K} % 80 AS STRING) || '.25' AS POINT_Y", "CAST(c_nationkey AS STRING) AS FEEDERID", "'F' || CAST(c_nationkey AS STRING) AS d_FEEDERID"]
+STAND_INS["register_points"] = ("customer", _REGISTER, "true")
+STAND_INS["register_units"] = ("nation", ["CASE n_nationkey % 5 WHEN 0 THEN ' ' ELSE ' G' || CAST(n_nationkey AS STRING) || ' ' END AS TAG", "n_name AS STRUCTNO", "CAST(n_regionkey AS STRING) AS FEEDERID", "'F' || CAST(n_regionkey AS STRING) AS d_FEEDERID", "'x' AS d_SUBTYPECD", "'v' AS VAULTCD", "CAST(n_nationkey AS STRING) || '.5' AS POINT_X", "'n/a' AS POINT_Y", "CAST(n_nationkey * 10 AS STRING) AS TOTALKVA"], "true")
+_BADGE = "regexp_replace(trim(BADGENUMBER), '\\.0+$', '')"
+_BANK = "CASE WHEN trim(TRANSFORMERBANKOBJECTID) IN ('', 'nan', 'None') THEN NULL ELSE regexp_replace(trim(TRANSFORMERBANKOBJECTID), '\\.0+$', '') END"
+PARTS = {k: f"SELECT {', '.join(STAND_INS[k][1])} FROM {STAND_INS[k][0]} WHERE {STAND_INS[k][2]}" for k in ("register_points", "register_units")} | PARTS
+PARTS["points"] = f"SELECT {_BADGE} AS badge, {_BANK} AS gis_transformer, nullif(trim(TRANSBANKTAG), '') AS bank_tag, CCBADDRESS1 AS address, CCBCITY AS city, try_cast(POINT_X AS DOUBLE) AS lon, try_cast(POINT_Y AS DOUBLE) AS lat, d_FEEDERID AS feeder FROM register_points"
+PARTS["unit_rows"] = "SELECT trim(TAG) AS tag, STRUCTNO AS structure, d_FEEDERID AS feeder, d_SUBTYPECD AS subtype, try_cast(POINT_X AS DOUBLE) AS lon, try_cast(POINT_Y AS DOUBLE) AS lat, try_cast(TOTALKVA AS DOUBLE) AS kva FROM register_units WHERE trim(TAG) <> ''"
+query("register_service_points", "SELECT * FROM points")(lambda d: enrich.service_points(d.register_points))
+query("register_transformers", "SELECT * FROM unit_rows")(lambda d: enrich.transformers(d.register_units))
+query("transformer_lookup", "SELECT b.transformer, structure, feeder, subtype, lon, lat, kva FROM (SELECT gis_transformer AS transformer, min(bank_tag) AS tag FROM points WHERE gis_transformer IS NOT NULL AND bank_tag IS NOT NULL GROUP BY ALL) b LEFT JOIN unit_rows u ON u.tag = b.tag")(
+    lambda d: enrich.transformer_lookup(enrich.service_points(d.register_points), enrich.transformers(d.register_units))
+)
+query("known_mapping", f"SELECT {_BADGE} AS badge, CASE WHEN trim(TRANSFORMERBANKOBJECTID) IN ('nan', 'None', '<NA>') THEN NULL ELSE regexp_replace(trim(TRANSFORMERBANKOBJECTID), '\\.0+$', '') END AS transformer FROM register_points WHERE {_BADGE} IN (SELECT CAST(o_custkey AS STRING) FROM orders)")(
+    lambda d: audit.known_mapping(d.register_points, d.table("orders").select(F.col("o_custkey").cast("string").alias("badge")))
+)
+query("day_counts", "SELECT badge, CAST(ts AS DATE) AS day, count(DISTINCT actual) AS n FROM readings GROUP BY ALL HAVING count(actual) >= 3")(
+    lambda d: d.readings.groupBy("badge", F.to_date("ts").alias("day")).agg(F.countDistinct("actual").alias("n"), F.count("actual").alias("k")).where("k >= 3").drop("k")
+)
+query("common_badges", "SELECT badge FROM old_run INTERSECT SELECT badge FROM new_run")(lambda d: d.old_run.select("badge").intersect(d.new_run.select("badge")))
+query("peer_sets", "SELECT cluster, list_sort(list(badge)) AS members FROM new_run GROUP BY cluster")(lambda d: d.new_run.groupBy("cluster").agg(F.array_sort(F.collect_set("badge")).alias("members")))
+query("all_runs", "SELECT run, count(*) AS n_badges, count(DISTINCT cluster) AS n_clusters FROM three GROUP BY run")(
+    lambda d: d.old_run.withColumn("run", F.lit("r1")).unionByName(d.mid_run.withColumn("run", F.lit("r2"))).unionByName(d.new_run.withColumn("run", F.lit("r3"))).groupBy("run").agg(F.count(F.lit(1)).alias("n_badges"), F.countDistinct("cluster").alias("n_clusters"))
+)
+query("change_report", "SELECT a.badge AS added, r.badge AS removed FROM (SELECT badge, row_number() OVER (ORDER BY badge) AS i FROM (SELECT badge FROM metadata_new EXCEPT SELECT badge FROM metadata_old)) a FULL JOIN (SELECT badge, row_number() OVER (ORDER BY badge) AS i FROM (SELECT badge FROM metadata_old EXCEPT SELECT badge FROM metadata_new)) r USING (i)")(
+    lambda d: side_by_side(d.metadata_new.select(F.col("badge").alias("added")).subtract(d.metadata_old.select("badge")), d.metadata_old.select(F.col("badge").alias("removed")).subtract(d.metadata_new.select("badge")))
+)

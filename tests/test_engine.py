@@ -241,3 +241,15 @@ def test_nine_table_join(spark):
     assert [tuple(r) for r in rows] == [("M5", "1D", 38.5, -77.25, 120.0, DAY, 121.2, 1.01)]
     hours = metering.hourly_predicates(dt.date(2024, 2, 28))
     assert len(hours) == 24 and hours[-1] == "msrmt_dttm >= TIMESTAMP '2024-02-28 23:00:00' AND msrmt_dttm < TIMESTAMP '2024-02-29 00:00:00'"
+
+
+def test_columns(spark):
+    from feedertrace.functions import columns
+
+    f = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert columns.select_present(f, ["c", "x", "a"]).columns == ["c", "a"]
+    assert columns.select_present(f, ["c"], rest=True).columns == ["c", "a", "b"]
+    assert columns.copy_column(f, "a", "d").first().d == 1 and columns.drop_null_keys(f.withColumn("a", F.lit(None).cast("int")), ["a"]).count() == 0
+    a, b = spark.createDataFrame([("q",), ("p",), ("r",)], "x string"), spark.createDataFrame([("z",)], "y string")
+    assert sorted(map(tuple, columns.side_by_side(a, b).collect())) == [("p", "z"), ("q", None), ("r", None)]
+    assert columns.side_by_side(a.limit(0), b.limit(0)).count() == 0
