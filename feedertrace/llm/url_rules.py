@@ -35,21 +35,26 @@ def parse_url(url: Column) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(rest, r"\A([^/?#]*)", 1), _UPPER, _LOWER), F.regexp_extract(rest, r"\A[^/?#]*([^?#]*)", 1)
 
 
-def url_tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens: host labels (h:), their parts at hyphens (w:), the host's ending (t:), path segments (p:, digits
-    as #), the file's ending (x:) and query names (q:); a token stands for its kind, not its place."""
+def url_tokens(host: Column, path: Column, url: Column, most: int = 10) -> Column:
+    """The first ``most`` distinct tokens: the host's ending (t:), path segments that are no number (p:), host labels
+    before the ending (h:), their parts at hyphens (w:), the file's ending (x:) and query names (q:).
+
+    A token stands for its kind, not its place. The bound is one of the model: what is mined from a URL has at most
+    ``2 ** most`` combinations, however long the URL is.
+    """
     labels = F.split(host, r"\.")
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
+    named = F.filter(F.slice(labels, 1, F.greatest(F.lit(0), F.size(labels) - 1)), lambda x: x != "")
+    segments = F.filter(F.split(path, "/"), lambda s: (s != "") & ~s.rlike(r"\A[0-9]+(\.[A-Za-z]{1,5})?\z"))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"\?([^#]*)", 1)
     parts = [
-        F.transform(F.filter(labels, lambda x: x != ""), lambda x: F.concat(F.lit("h:"), x)),
-        F.transform(F.filter(F.split(host, r"[.-]"), lambda x: (x != "") & F.contains(host, F.lit("-"))), lambda x: F.concat(F.lit("w:"), x)),
         F.when(host != "", F.array(F.concat(F.lit("t:"), F.element_at(labels, -1)))).otherwise(F.array().cast("array<string>")),
-        F.transform(segments, lambda s: F.concat(F.lit("p:"), F.regexp_replace(s, "[0-9]+", "#"))),
+        F.transform(segments, lambda s: F.concat(F.lit("p:"), s)),
+        F.transform(named, lambda x: F.concat(F.lit("h:"), x)),
+        F.transform(F.filter(F.flatten(F.transform(F.filter(named, lambda x: F.contains(x, F.lit("-"))), lambda x: F.split(x, "-"))), lambda x: x != ""), lambda x: F.concat(F.lit("w:"), x)),
         F.transform(F.regexp_extract_all(path, F.lit(r"(\.[A-Za-z]{1,5})\z"), F.lit(1)), lambda s: F.concat(F.lit("x:"), F.lower(s))),
         F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.concat(F.lit("q:"), F.element_at(F.split(x, "="), 1))),
     ]
-    return F.array_distinct(F.concat(*parts))
+    return F.slice(F.array_distinct(F.concat(*parts)), 1, most)
 
 
 def stated(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]) -> tuple[Column, Column]:
@@ -61,7 +66,7 @@ def stated(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...])
     return rule, verdict
 
 
-def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_confidence: float = 0.8) -> DataFrame:
+def mine_rules(labelled: DataFrame, *, min_support: float = 0.01, min_confidence: float = 0.8) -> DataFrame:
     """(tokens, verdict, confidence, support) from ``labelled`` (tokens, verdict), pruned.
 
     ``min_support`` is a share of the labelled URLs. A rule goes if another of the same verdict with a part of its
@@ -71,9 +76,15 @@ def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_confidenc
     # FP-growth needs a row at least; one without tokens supports nothing.
     if items.isEmpty():
         return labelled.sparkSession.sql("SELECT array('') AS tokens, '' AS verdict, 0D AS confidence, 0D AS support WHERE false")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    found = model.associationRules.where((F.size("consequent") == 1) & F.element_at("consequent", 1).startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("=")))
-    rules = materialize(found.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.element_at("consequent", 1), 2, 1000).alias("verdict"), "confidence", "support"), "rules")
+    # Of all frequent combinations those with a verdict are rules; their token lists' own counts give the confidence.
+    sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(items).freqItemsets
+    sets = materialize(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    said = F.filter("items", lambda x: x.startswith("="))
+    both = sets.where(F.size(said) == 1).select(F.filter("items", lambda x: ~x.startswith("=")).alias("tokens"), F.substring(F.element_at(said, 1), 2, 1000).alias("verdict"), F.col("freq").alias("hits"))
+    alone = sets.where(F.size(said) == 0).select(F.col("items").alias("tokens"), "freq")
+    n = items.count()
+    rules = both.where(F.size("tokens") > 0).join(alone, "tokens").select("tokens", "verdict", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / n).alias("support")).where(F.col("confidence") >= min_confidence)
+    rules = materialize(rules, "rules")
     # Each rule meets the rules whose first token it holds.
     part = rules.select(F.col("tokens").alias("few"), F.col("verdict").alias("v"), F.col("confidence").alias("c"), F.element_at("tokens", 1).alias("k"))
     keyed = rules.withColumn("k", F.explode("tokens"))
@@ -93,7 +104,7 @@ def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return hit.groupBy("tokens").agg(F.max_by("verdict", F.struct("confidence", "support", F.size("need"), "verdict")).alias("mined"))
 
 
-def judge_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = RULES, min_support: float = 0.002, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
+def judge_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = RULES, min_support: float = 0.01, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
     """Per row of ``pages`` (page_id, url; other columns are not read): page_id, host, path, rule, verdict, and by: what
     the verdict is from ('stated', 'mined' or 'default').
 
