@@ -19,14 +19,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedertrace.llm.text import ascii_words, fold
+from feedertrace.llm.text import ascii_words, fold, slices
 from feedertrace.session import materialize
 
 #: The end token: no word has a space.
 END = b" "
 BASE = 1.5
-HASHES = 6
+#: Bits of an entry, and of the filter for each.
+HASHES, BITS = 4, 9.5
 MOST_LEVELS = 64
+#: Characters whose words are counted, and scored, together.
+COUNTED, SCORED = 6_000_000, 2_000_000
+_LOW = np.uint64(0xFFFFFFFF)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -74,82 +78,101 @@ class Batch:
         self.before = before
 
 
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards in the order of the (unsigned) keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 def _counted(shards: int):
+    """What a stretch of text has for each shard, as one row: keys with counts, and words (joined by spaces) with theirs."""
+
+    def packed(keys: np.ndarray, n: np.ndarray, tokens: np.ndarray | None = None) -> pd.DataFrame:
+        names, at = np.unique(shard_of(keys, shards), return_index=True)
+        spans = list(zip(at, [*at[1:], len(keys)], strict=True))
+        n = n.astype("<u4")
+        said = [None if tokens is None else b" ".join([b"" if t == END else t for t in tokens[i:j]]) for i, j in spans]
+        return pd.DataFrame({"shard": names.astype(np.int32), "keys": [keys[i:j].tobytes() for i, j in spans], "counts": [n[i:j].tobytes() for i, j in spans], "words": said})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches, COUNTED):
             b = Batch(batch["text"])
-            pairs, n = np.unique(b.pairs, return_counts=True)
-            yield pd.DataFrame({"shard": (pairs % np.uint64(shards)).astype(np.int32), "key": pairs.view(np.int64), "token": None, "n": n})
-            n = np.bincount(b.codes, minlength=len(b.tokens))
-            yield pd.DataFrame({"shard": (b.words % np.uint64(shards)).astype(np.int32), "key": b.words.view(np.int64), "token": [t.decode() for t in b.tokens], "n": n})
+            yield packed(*np.unique(b.pairs, return_counts=True))
+            order = np.argsort(b.words)
+            yield packed(b.words[order], np.bincount(b.codes, minlength=len(b.tokens))[order], b.tokens[order])
 
     return run
 
 
-def _places(keys: np.ndarray, level: int, i: int, bits) -> np.ndarray:
+def _masks(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key at a level: a number below 2 ** 32 that says which word, and the ``HASHES`` bits in it.
+
+    All bits of an entry are in one word of 64, so a probe reads memory once.
+    """
     with np.errstate(over="ignore"):
-        return _mix(keys + np.uint64(level) * _A + np.uint64(i) * _B) % bits
+        h = _mix(keys + np.uint64(level) * _A)
+        g = h * _B
+    mask = np.uint64(1) << (g >> np.uint64(58))
+    for i in range(1, HASHES):
+        mask |= np.uint64(1) << ((g >> np.uint64(58 - 6 * i)) & np.uint64(63))
+    return h >> np.uint64(32), mask
 
 
 def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Packed bits of a filter with ``keys`` (unsigned) at the levels of ``counts``: about 8.7 bits a level."""
+    """The words of a filter with ``keys`` (unsigned) at the levels of ``counts``."""
     levels = levels_of(counts)
-    bits = max(64, int(levels.sum() * HASHES / np.log(2)) + 1)
-    on = np.zeros(bits, dtype=bool)
+    words = np.zeros(max(1, int(levels.sum() * BITS / 64) + 1), dtype=np.uint64)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        here = keys[levels >= level]
-        for i in range(HASHES):
-            on[_places(here, level, i, np.uint64(bits)).astype(np.int64)] = True
-    return np.packbits(on, bitorder="little"), bits
+        which, mask = _masks(keys[levels >= level], level)
+        np.bitwise_or.at(words, which * np.uint64(len(words)) >> np.uint64(32), mask)
+    return words
 
 
 def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of all rows of some shards: the exact counts of words, and each shard's filter."""
-    keys, counts, shard_of, words = [], [], [], {}
+    keys: dict[int, list] = {}
+    words: dict[bytes, int] = {}
     for batch in batches:
-        keys.append(batch["key"].to_numpy().view(np.uint64))
-        counts.append(batch["n"].to_numpy())
-        shard_of.append(batch["shard"].to_numpy())
-        own = batch[batch["token"].notna()]
-        for t, n in zip(own["token"], own["n"], strict=True):
-            words[t] = words.get(t, 0) + n
-    if not keys:
-        return
+        for shard, k, n, said in zip(batch["shard"], batch["keys"], batch["counts"], batch["words"], strict=True):
+            n = np.frombuffer(n, dtype="<u4")
+            keys.setdefault(shard, []).append((np.frombuffer(k, dtype=np.uint64), n))
+            if said is not None:
+                for t, c in zip(said.split(b" "), n.tolist(), strict=True):
+                    words[t] = words.get(t, 0) + c
     if words:
-        yield pd.DataFrame({"token": list(words), "n": list(words.values()), "shard": pd.array([None] * len(words), dtype="Int32"), "bits": 0, "filter": None})
-    keys, counts, shard_of = np.concatenate(keys), np.concatenate(counts), np.concatenate(shard_of)
-    order = np.argsort(shard_of, kind="stable")
-    names, starts = np.unique(shard_of[order], return_index=True)
-    for name, at in zip(names, np.split(order, starts[1:]), strict=True):
-        unique, inverse = np.unique(keys[at], return_inverse=True)
-        packed, bits = build_filter(unique, np.bincount(inverse, weights=counts[at]))
-        yield pd.DataFrame({"token": [None], "n": [0], "shard": pd.array([name], dtype="Int32"), "bits": [bits], "filter": [packed.tobytes()]})
+        yield pd.DataFrame({"token": [(t or END).decode() for t in words], "n": list(words.values()), "shard": pd.array([None] * len(words), dtype="Int32"), "size": 0, "filter": None})
+    for shard in sorted(keys):
+        k, n = (np.concatenate(x) for x in zip(*keys.pop(shard), strict=True))
+        unique, inverse = np.unique(k, return_inverse=True)
+        held = build_filter(unique, np.bincount(inverse, weights=n))
+        yield pd.DataFrame({"token": [None], "n": [0], "shard": pd.array([shard], dtype="Int32"), "size": [held.nbytes], "filter": [held.tobytes()]})
 
 
 class Filter:
-    """All shards in one array. A shard's place is its remainder modulo the number of shards."""
+    """All shards in one array."""
 
     def __init__(self, shards: int, rows):
         self.shards = shards
-        self.bits = np.full(shards, 64, dtype=np.uint64)
-        self.at = np.zeros(shards, dtype=np.int64)
-        parts, to = [np.zeros(8, dtype=np.uint8)], 8
-        for shard, bits, packed in rows:
-            self.bits[shard], self.at[shard] = bits, to
-            parts.append(np.frombuffer(packed, dtype=np.uint8))
-            to += len(packed)
-        self.bytes = np.concatenate(parts)
+        self.size = np.ones(shards, dtype=np.uint64)
+        self.at = np.zeros(shards, dtype=np.uint64)
+        parts, to = [bytes(8)], 1
+        for shard, packed in rows:
+            self.size[shard], self.at[shard] = len(packed) // 8, to
+            parts.append(packed)
+            to += len(packed) // 8
+        #: Kept as bytes: a worker then reads a broadcast into place without a copy.
+        self.packed = b"".join(parts)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of each of ``keys``: 0 if the filter lacks it."""
+        held = np.frombuffer(self.packed, dtype=np.uint64)
         out = np.zeros(len(keys), dtype=np.int64)
         left = np.arange(len(keys))
-        shard = (keys % np.uint64(self.shards)).astype(np.int64)
-        bits, start = self.bits[shard], self.at[shard]
+        shard = shard_of(keys, self.shards)
+        size, start = self.size[shard], self.at[shard]
         for level in range(1, MOST_LEVELS + 1):
-            for i in range(HASHES):
-                place = _places(keys[left], level, i, bits[left]).astype(np.int64)
-                left = left[(self.bytes[start[left] + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 == 1]
+            which, mask = _masks(keys, level)
+            there = np.flatnonzero(held[start + (which * size >> np.uint64(32))] & mask == mask)
+            left, keys, size, start = left[there], keys[there], size[there], start[there]
             if not len(left):
                 break
             out[left] = level
@@ -171,7 +194,7 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def _scored(shared, total: int, distinct: int, weight: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frequent, bloom = shared.value
-        for batch in batches:
+        for batch in slices(batches, SCORED):
             b = Batch(batch["text"])
             exact = np.fromiter((frequent.get(t, -1) for t in b.tokens), dtype=np.int64, count=len(b.tokens))
             of = exact[b.codes]
@@ -201,7 +224,7 @@ def _scored(shared, total: int, distinct: int, weight: float):
 
 def _ngrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each text's distinct (pair, context, word) with their counts."""
-    for batch in batches:
+    for batch in slices(batches, SCORED):
         b = Batch(batch["text"])
         doc = np.repeat(batch["rid"].to_numpy(), b.ends - b.starts)
         rows = pd.DataFrame({"rid": doc, "pair": b.pairs.view(np.int64), "context": b.before.view(np.int64), "word": b.words[b.codes].view(np.int64)})
@@ -210,7 +233,7 @@ def _ngrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _probe(shards: int):
     def run(key, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found = Filter(shards, zip(own["shard"], own["bits"], own["filter"], strict=True))
+        found = Filter(shards, zip(own["shard"], own["filter"], strict=True))
         keys = asked["key"].to_numpy(dtype=np.int64)
         return pd.DataFrame({"key": keys, "level": found.levels(keys.view(np.uint64))})
 
@@ -221,8 +244,7 @@ def _apart(docs: DataFrame, filters: DataFrame, shards: int, total: int, distinc
     """rid and score without a broadcast: distinct n-grams are probed at their shard, and levels are joined back."""
     grams = materialize(docs.select("rid", "text").mapInPandas(_ngrams, "rid long, pair long, context long, word long, n long"), "ngrams")
     keys = grams.select(F.explode(F.array("pair", "context", "word")).alias("key")).distinct()
-    # Unsigned remainder: 2 ** 64 is left over where the sign bit is set.
-    shard = F.pmod(F.pmod("key", F.lit(shards)) + F.when(F.col("key") < 0, F.lit((1 << 64) % shards)).otherwise(0), F.lit(shards)).cast("int")
+    shard = F.shiftright(F.shiftrightunsigned("key", 32) * shards, 32).cast("int")
     answers = filters.groupBy("shard").cogroup(keys.withColumn("shard", shard).groupBy("shard")).applyInPandas(_probe(shards), "key long, level long")
     answers = materialize(answers.where("level > 0"), "levels")
     for c in ("pair", "context", "word"):
@@ -236,7 +258,7 @@ def _apart(docs: DataFrame, filters: DataFrame, shards: int, total: int, distinc
     return grams.select("rid", "n", "pair_level", "context_level", "word_level").mapInPandas(run, "rid long, score double").groupBy("rid").agg(F.sum("score").alias("score"))
 
 
-def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weight: float = 0.6, frequent: int = 200_000, broadcast_bytes: int = 256 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weight: float = 0.6, frequent: int = 50_000, broadcast_bytes: int = 256 << 20) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are not read): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score.
 
@@ -248,14 +270,14 @@ def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weig
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select("doc_id", "text")
     training = source.where(fold(F.col("doc_id"), folds) != held_out).select("text")
-    counted = training.mapInPandas(_counted(shards), "shard int, key long, token string, n long").repartition(shards // 4, "shard")
-    model = materialize(counted.mapInPandas(_shards, "token string, n long, shard int, bits long, filter binary"), "model")
+    counted = training.mapInPandas(_counted(shards), "shard int, keys binary, counts binary, words binary").repartition(shards // 4, "shard")
+    model = materialize(counted.mapInPandas(_shards, "token string, n long, shard int, size long, filter binary"), "model")
     words = model.where("token is not null").select("token", "n")
-    filters = model.where("token is null").select("shard", "bits", "filter")
+    filters = model.where("token is null").select("shard", "size", "filter")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    size = filters.agg(F.coalesce(F.sum("bits"), F.lit(0))).first()[0] // 8
+    size = filters.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     top = {r.token.encode(): r.n for r in words.orderBy(F.desc("n"), "token").limit(frequent).collect()}
-    bloom = Filter(shards, [tuple(r) for r in filters.toLocalIterator()]) if size <= broadcast_bytes else None
+    bloom = Filter(shards, ((r.shard, bytes(r.filter)) for r in filters.select("shard", "filter").toLocalIterator())) if size <= broadcast_bytes else None
     shared = spark.sparkContext.broadcast((top, bloom))
     fields = "doc_id long, n_tokens long, known long, logs double, rare array<string>, rare_n array<long>, score double"
     if bloom is None:
@@ -285,7 +307,9 @@ def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weig
 def _with_rid(run):
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rid, at = batch["rid"].to_numpy(), 0
             for out in run(iter([batch])):
-                yield out.assign(rid=batch["rid"].to_numpy())
+                yield out.assign(rid=rid[at : at + len(out)])
+                at += len(out)
 
     return keep
