@@ -70,6 +70,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, *, epochs:
 
     for _ in range(epochs):
         for label, at, x in rows:
+            x = x.astype(np.float64)
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
             step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
@@ -99,9 +100,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bits: int
     own = own.where(fold(F.col("_id"), folds) != held_out).withColumn("key", F.xxhash64("_id", "label")).orderBy("key", "_id", "label").limit(max_rows)
     # At most ``max_rows`` rows of two numbers.
     found = docs.select("doc_id", "text").join(F.broadcast(own), F.col("doc_id") == F.col("_id")).select("key", "label", "text")
-    rows = found.mapInPandas(_vectors(bits), "key long, label int, places array<int>, vals array<float>").toPandas()
-    rows = rows.sort_values(["key", "label"], kind="stable")
-    return train([(y, np.asarray(at), np.asarray(x, dtype=float)) for y, at, x in zip(rows["label"], rows["places"], rows["vals"], strict=True)], bits)
+    table = found.mapInPandas(_vectors(bits), "key long, label int, places array<int>, vals array<float>").toArrow().combine_chunks()
+    if not table.num_rows:
+        return np.zeros(1 << bits, dtype=np.float32)
+    key, label = table["key"].to_numpy(), table["label"].to_numpy()
+    lists = table["places"].chunk(0)
+    ends, places, vals = lists.offsets.to_numpy(), lists.values.to_numpy(), table["vals"].chunk(0).values.to_numpy()
+    order = np.lexsort((np.diff(ends), label, key))
+    # Views of one buffer: the sample is held once.
+    return train([(int(label[i]), places[ends[i] : ends[i + 1]], vals[ends[i] : ends[i + 1]]) for i in order], bits)
 
 
 def _scored(weights: np.ndarray, bits: int, limit: float):
