@@ -2,7 +2,8 @@
 
 Stated rules give a verdict to the URLs they fit. These URLs are the labelled transactions: the tokens of host, path and
 query, with the verdict as one more item. FP-growth finds the token combinations frequent enough; rules from tokens to
-a verdict stay if their confidence is high enough and no rule with fewer tokens is as confident. Each rule is listed in
+a verdict stay if their confidence is high enough and no rule with fewer tokens is as confident. What cannot be in such
+a rule is left out before: see ``mine_rules``. Each rule is listed in
 an inverted index under its rarest token. URLs are reduced to the tokens of rules and collapsed to distinct token sets
 before they are matched, so a host with a third of all URLs is a row per task, and the verdicts are joined back.
 
@@ -11,6 +12,8 @@ Everything here is DataFrame functions and Spark's FP-growth.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,45 +69,65 @@ def stated(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...])
     return rule, verdict
 
 
-def mine_rules(labelled: DataFrame, *, min_support: float = 0.01, min_confidence: float = 0.8) -> DataFrame:
-    """(tokens, verdict, confidence, support) from ``labelled`` (tokens, verdict), pruned.
+def mine_rules(labelled: DataFrame, *, min_support: float = 0.002, min_confidence: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(tokens, verdict, confidence, support) from ``labelled`` (tokens, verdict), pruned; and (t, k): each token of
+    rules with the one that stands for it there.
 
     ``min_support`` is a share of the labelled URLs. A rule goes if another of the same verdict with a part of its
     tokens is at least as confident. Nothing labelled gives no rules.
+
+    Three things make the itemsets few and lose no rule. A token too rare with every verdict is in none. Tokens of the
+    same labelled URLs make the same rules, and no kept rule has two of them: one stands for all. A token that always
+    comes with one verdict is a rule, and beats every longer one that holds it.
     """
-    items = labelled.where("verdict is not null").select(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+    labelled = labelled.where("verdict is not null")
+    n = labelled.count()
     # FP-growth needs a row at least; one without tokens supports nothing.
-    if items.isEmpty():
-        return labelled.sparkSession.sql("SELECT array('') AS tokens, '' AS verdict, 0D AS confidence, 0D AS support WHERE false")
+    if not n:
+        none = labelled.sparkSession.sql("SELECT array('') AS tokens, '' AS verdict, 0D AS confidence, 0D AS support WHERE false")
+        return none, none.select(F.col("verdict").alias("t"), F.col("verdict").alias("k"))
+    rows = labelled.groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select(F.explode("tokens").alias("t"), "verdict", "n", F.xxhash64("tokens", "verdict").alias("a"), F.xxhash64("verdict", "tokens").alias("b"))
+    rows = rows.groupBy("t", "verdict").agg(F.sum("n").alias("hits"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    rows = rows.groupBy("t").agg(F.sum("hits").alias("freq"), F.max("hits").alias("hits"), F.max_by("verdict", "hits").alias("verdict"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    rows = rows.where(F.col("hits") >= math.ceil(min_support * n))
+    rows = rows.groupBy("freq", "hits", "verdict", "a", "b").agg(F.min("t").alias("k"), F.collect_list("t").alias("ts"))
+    stands = materialize(rows.select("k", "verdict", "hits", "freq", F.explode("ts").alias("t")), "tokens")
+    one = stands.where("t = k")
+    sure = one.where("hits = freq").select(F.array("k").alias("tokens"), "verdict", F.lit(1.0).alias("confidence"), (F.col("hits") / n).alias("support"))
+    mixed = F.broadcast(one.where("hits < freq").agg(F.collect_list("k").alias("mixed")))
+    items = labelled.join(mixed).select(F.concat(F.array_intersect("tokens", "mixed"), F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
     # Of all frequent combinations those with a verdict are rules; their token lists' own counts give the confidence.
     sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(items).freqItemsets
     sets = materialize(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     said = F.filter("items", lambda x: x.startswith("="))
     both = sets.where(F.size(said) == 1).select(F.filter("items", lambda x: ~x.startswith("=")).alias("tokens"), F.substring(F.element_at(said, 1), 2, 1000).alias("verdict"), F.col("freq").alias("hits"))
     alone = sets.where(F.size(said) == 0).select(F.col("items").alias("tokens"), "freq")
-    n = items.count()
     rules = both.where(F.size("tokens") > 0).join(alone, "tokens").select("tokens", "verdict", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / n).alias("support")).where(F.col("confidence") >= min_confidence)
-    rules = materialize(rules, "rules")
+    rules = materialize(rules.union(sure), "rules")
     # Each rule meets the rules whose first token it holds.
     part = rules.select(F.col("tokens").alias("few"), F.col("verdict").alias("v"), F.col("confidence").alias("c"), F.element_at("tokens", 1).alias("k"))
     keyed = rules.withColumn("k", F.explode("tokens"))
     beaten = keyed.join(part, (keyed.k == part.k) & (keyed.verdict == F.col("v")) & (F.size("few") < F.size("tokens")) & (F.col("c") >= F.col("confidence")) & (F.size(F.array_except("few", "tokens")) == 0))
     beaten = beaten.select(F.col("tokens").alias("_t"), "v").distinct()
-    return materialize(rules.join(beaten, (rules.tokens == F.col("_t")) & (rules.verdict == F.col("v")), "left_anti"), "kept-rules")
+    kept = materialize(rules.join(beaten, (rules.tokens == F.col("_t")) & (rules.verdict == F.col("v")), "left_anti"), "kept-rules")
+    return kept, stands.join(kept.select(F.explode("tokens").alias("k")).distinct(), "k", "left_semi").select("t", "k")
 
 
-def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """``sets`` (distinct ``tokens``) with the verdict of the most confident rule that each holds; then of the one with
+def match_rules(sets: DataFrame, rules: DataFrame, stands: DataFrame) -> DataFrame:
+    """``sets`` (distinct ``tokens``) with the verdict of the most confident rule that each holds, by the tokens that
+    ``stands`` (t, k) has for its own; then of the one with
     most support, then of the larger token list; a tie between verdicts goes to block. Sets that no rule fits are left out."""
     # A token's frequency among the rules stands for its frequency among what they are matched with.
     df = rules.select(F.explode("tokens").alias("k"), "support").groupBy("k").agg(F.max("support").alias("df"))
     rarest = rules.withColumn("k", F.explode("tokens")).join(df, "k").groupBy("tokens", "verdict", "confidence", "support").agg(F.min_by("k", F.struct("df", "k")).alias("k"))
     index = rarest.select("k", F.col("tokens").alias("need"), "verdict", "confidence", "support")
-    hit = sets.withColumn("k", F.explode("tokens")).join(index, "k").where(F.size(F.array_except("need", "tokens")) == 0)
+    held = sets.withColumn("t", F.explode("tokens")).join(stands, "t").groupBy("tokens").agg(F.collect_set("k").alias("held"))
+    hit = held.withColumn("k", F.explode("held")).join(index, "k").where(F.size(F.array_except("need", "held")) == 0)
     return hit.groupBy("tokens").agg(F.max_by("verdict", F.struct("confidence", "support", F.size("need"), "verdict")).alias("mined"))
 
 
-def judge_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = RULES, min_support: float = 0.01, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
+def judge_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = RULES, min_support: float = 0.002, min_confidence: float = 0.8, default: str = "allow") -> DataFrame:
     """Per row of ``pages`` (page_id, url; other columns are not read): page_id, host, path, rule, verdict, and by: what
     the verdict is from ('stated', 'mined' or 'default').
 
@@ -116,11 +139,11 @@ def judge_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = RU
     rule, verdict = stated(F.col("host"), F.col("path"), rules)
     own = own.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("said"), url_tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens"))
     own = materialize(own, "urls")
-    mined = mine_rules(own.where("said is not null").select("tokens", F.col("said").alias("verdict")), min_support=min_support, min_confidence=min_confidence)
+    mined, stands = mine_rules(own.where("said is not null").select("tokens", F.col("said").alias("verdict")), min_support=min_support, min_confidence=min_confidence)
     # The tokens of rules: bounded by the rules, which their support bounds.
-    known = F.broadcast(mined.select(F.explode("tokens").alias("t")).agg(F.collect_set("t").alias("known")))
+    known = F.broadcast(stands.agg(F.collect_set("t").alias("known")))
     # A set is told by its text: arrays as keys are compared item by item.
     rest = own.where("said is null").join(known).withColumn("tokens", F.array_sort(F.array_intersect("tokens", "known"))).drop("known")
-    verdicts = materialize(match_rules(rest.select("tokens").distinct(), mined), "verdicts")
+    verdicts = materialize(match_rules(rest.select("tokens").distinct(), mined, stands), "verdicts")
     rest = rest.join(verdicts, "tokens", "left").select("page_id", "host", "path", "rule", F.coalesce("mined", F.lit(default)).alias("verdict"), F.when(F.col("mined").isNull(), "default").otherwise("mined").alias("by"))
     return own.where("said is not null").select("page_id", "host", "path", "rule", F.col("said").alias("verdict"), F.lit("stated").alias("by")).union(rest)

@@ -58,3 +58,10 @@ def test_mined_rules_equal_all_combinations(spark):
         fit = [(*x, len(c), w) for (c, w), x in kept.items() if c <= s]
         want.append((str(r.page_id), v or (max(fit)[3] if fit else "allow"), "stated" if v else "mined" if fit else "default"))
     assert sorted((str(r.page_id), r.verdict, r.by) for r in rows) == sorted(want) and any(x[2] == "mined" for x in want)
+
+
+def test_a_host_of_half_a_percent_is_mined(spark):
+    labelled = [f"http://{'bad-x.example.com/en/' if i < 5 else 'good.com/fr/'}{i}.html" for i in range(1000)]
+    frame = spark.createDataFrame(list(enumerate([*labelled, "http://bad-x.example.org/de/7"])), "page_id long, url string")
+    last = u.judge_urls(frame).where("page_id = 1000").first()
+    assert (last.verdict, last.by) == ("block", "mined")
