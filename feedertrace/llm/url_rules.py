@@ -38,12 +38,11 @@ def parse_url(url: Column) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(rest, r"\A([^/?#]*)", 1), _UPPER, _LOWER), F.regexp_extract(rest, r"\A[^/?#]*([^?#]*)", 1)
 
 
-def url_tokens(host: Column, path: Column, url: Column, most: int = 10) -> Column:
-    """The first ``most`` distinct tokens: the host's ending (t:), path segments that are no number (p:), host labels
-    before the ending (h:), their parts at hyphens (w:), the file's ending (x:) and query names (q:).
+def url_tokens(host: Column, path: Column, url: Column) -> Column:
+    """The distinct tokens: the host's ending (t:), path segments that are no number (p:), host labels before the ending
+    (h:), their parts at hyphens (w:), the file's ending (x:) and query names (q:).
 
-    A token stands for its kind, not its place. The bound is one of the model: what is mined from a URL has at most
-    ``2 ** most`` combinations, however long the URL is.
+    A token stands for its kind, not its place. A URL has as many as its text gives.
     """
     labels = F.split(host, r"\.")
     named = F.filter(F.slice(labels, 1, F.greatest(F.lit(0), F.size(labels) - 1)), lambda x: x != "")
@@ -57,7 +56,7 @@ def url_tokens(host: Column, path: Column, url: Column, most: int = 10) -> Colum
         F.transform(F.regexp_extract_all(path, F.lit(r"(\.[A-Za-z]{1,5})\z"), F.lit(1)), lambda s: F.concat(F.lit("x:"), F.lower(s))),
         F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.concat(F.lit("q:"), F.element_at(F.split(x, "="), 1))),
     ]
-    return F.slice(F.array_distinct(F.concat(*parts)), 1, most)
+    return F.array_distinct(F.concat(*parts))
 
 
 def stated(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]) -> tuple[Column, Column]:

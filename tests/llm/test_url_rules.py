@@ -65,3 +65,17 @@ def test_a_host_of_half_a_percent_is_mined(spark):
     frame = spark.createDataFrame(list(enumerate([*labelled, "http://bad-x.example.org/de/7"])), "page_id long, url string")
     last = u.judge_urls(frame).where("page_id = 1000").first()
     assert (last.verdict, last.by) == ("block", "mined")
+
+
+def test_long_urls_keep_all_tokens(spark):
+    deep = "/".join("abcdefghi")
+    long = "/".join(f"s{i}" for i in range(40))
+    labelled = [f"http://bad-x.example.com/en/{long}/{i}?q=1" for i in range(20)] + [f"http://good.com/en/{deep}/{i}" for i in range(80)]
+    frame = spark.createDataFrame(list(enumerate([*labelled, f"http://bad-x.example.org/{deep}"])), "page_id long, url string")
+    host, path = u.parse_url(F.col("url"))
+    tokens = frame.select("page_id", u.url_tokens(host, path, F.col("url")).alias("t"))
+    assert {"h:bad-x", "w:bad", "p:i"} <= set(tokens.where("page_id = 100").first().t)
+    # Every token that the 20 alone have is a rule: the host too, behind 40 segments.
+    mined, stands = u.mine_rules(tokens.where("page_id < 100").select(F.col("t").alias("tokens"), F.expr("IF(page_id < 20, 'block', 'allow')").alias("verdict")))
+    assert {"h:bad-x", "w:bad", "p:s39", "q:q"} <= {r.t for r in stands.join(mined.where("verdict = 'block'").select(F.explode("tokens").alias("k")), "k").collect()}
+    assert u.judge_urls(frame).where("page_id = 100").first().by == "mined"
