@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become template tokens: numbers, units and names turn into typed placeholders, the others into their lower-case
-core. Windows of template tokens are hashed; a hash table of the benchmark's windows finds equal ones in the documents.
+core. A capital at a sentence's start may be a name or not, so there are two readings: such words as they stand, and as
+names. Windows of template tokens are hashed in both; a hash table of the benchmark's windows finds equal ones in the documents.
 Along an alignment of an item with a document, each slot value of the item must stand for one value of the document and
 the other way round, so a question asked again with other numbers or names is caught, and a chance likeness of
 templates is not. The benchmark is taken in blocks whose size is bounded, each against all documents.
@@ -56,7 +57,8 @@ def classify(word: str) -> tuple[int, str, bool]:
 
 
 class Tokens:
-    """Template tokens of some texts, one after another; ``doc`` has the text's number of each token."""
+    """Template tokens of some texts, one after another; ``doc`` has the text's number of each token. ``token`` and
+    ``slot`` are by reading: with capitals at the start of sentences as words, then as names."""
 
     def __init__(self, texts):
         import xxhash
@@ -76,25 +78,26 @@ class Tokens:
         first = np.ones(len(words), dtype=bool)
         first[1:] = ends[:-1] | (doc[1:] != doc[:-1])
         token = plain[codes] if words else np.zeros(0, dtype=np.uint64)
-        name = (kind == CAPITAL) & ~first
         # A unit is one only behind a number: "in" and "min" are words too.
         unit = np.zeros(len(words), dtype=bool)
         unit[1:] = (kind[1:] == IS_UNIT) & (kind[:-1] == IS_NUM) & (doc[1:] == doc[:-1])
-        token = np.select([kind == IS_NUM, unit, name], [NUM, UNIT, NAME], token).astype(np.uint64)
         keep = kind != NONE
-        self.doc, self.token, self.codes = doc[keep], token[keep], codes[keep]
-        self.slot = ((kind == IS_NUM) | unit | name)[keep]
+        self.doc, self.codes = doc[keep], codes[keep]
+        names = ((kind == CAPITAL) & ~first, kind == CAPITAL)
+        self.token = [np.select([kind == IS_NUM, unit, name], [NUM, UNIT, NAME], token).astype(np.uint64)[keep] for name in names]
+        self.slot = [((kind == IS_NUM) | unit | name)[keep] for name in names]
         self.cores = [c for _, c, _ in known]
         self.starts = np.searchsorted(self.doc, np.arange(len(sizes) + 1))
 
-    def windows(self, n: int) -> np.ndarray:
+    def windows(self, n: int, reading: int) -> np.ndarray:
         """The hash of the ``n`` tokens from each on; those that would cross a text's end are not to be used."""
-        if len(self.token) < n:
+        token = self.token[reading]
+        if len(token) < n:
             return np.zeros(0, dtype=np.uint64)
-        out = np.zeros(len(self.token) - n + 1, dtype=np.uint64)
+        out = np.zeros(len(token) - n + 1, dtype=np.uint64)
         with np.errstate(over="ignore"):
             for i in range(n):
-                out = out * _STEP + self.token[i : i + len(out)]
+                out = out * _STEP + token[i : i + len(out)]
             return out ^ (out >> np.uint64(31))
 
     def value(self, i: int) -> str:
@@ -102,53 +105,54 @@ class Tokens:
 
 
 class Benchmark:
-    """A block of items with the hash tables of their windows, by window length."""
+    """A block of items with the hash tables of their windows, by window length and reading."""
 
     def __init__(self, items: list[tuple[int, str]], window: int, shortest: int):
         self.ids = [i for i, _ in items]
         self.tokens = t = Tokens([x for _, x in items])
         self.size = np.diff(t.starts)
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         found = defaultdict(list)
-        literal = np.concatenate([[0], np.cumsum(~t.slot)])
+        literal = [np.concatenate([[0], np.cumsum(~x)]) for x in t.slot]
         for item, (low, high) in enumerate(zip(t.starts, t.starts[1:], strict=False)):
             n = min(window, high - low)
             if n >= shortest:
                 # At least half of a window is words as such.
-                found[int(n)] += [(item, at) for at in range(low, high - n + 1) if 2 * (literal[at + n] - literal[at]) >= n]
-        for n, places in found.items():
+                for reading, words in enumerate(literal):
+                    found[int(n), reading] += [(item, at) for at in range(low, high - n + 1) if 2 * (words[at + n] - words[at]) >= n]
+        for (n, reading), places in found.items():
             item, at = np.array(places, dtype=np.int64).reshape(-1, 2).T
-            keys = t.windows(n)[at]
+            keys = t.windows(n, reading)[at]
             order = np.argsort(keys, kind="stable")
             small = np.zeros(1 << 20, dtype=bool)
             small[(keys >> np.uint64(44)).astype(np.int64)] = True
-            self.tables[n] = keys[order], item[order], at[order], small
+            self.tables[n, reading] = keys[order], item[order], at[order], small
 
     def match(self, texts) -> Iterator[tuple[int, int, int, int, bool]]:
         """(text's number, item's number, covered tokens of the item, its tokens, reparameterised)."""
         t = Tokens(texts)
-        hits: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
-        for n, (keys, item, at, small) in self.tables.items():
-            own = t.windows(n)
+        hits: dict[tuple[int, int], dict[tuple[int, int, int], int]] = defaultdict(dict)
+        for (n, reading), (keys, item, at, small) in self.tables.items():
+            own = t.windows(n, reading)
             maybe = np.flatnonzero(small[(own >> np.uint64(44)).astype(np.int64)])
             maybe = maybe[t.doc[maybe] == t.doc[maybe + n - 1]]
             low, high = np.searchsorted(keys, own[maybe], side="left"), np.searchsorted(keys, own[maybe], side="right")
             for p, a, b in zip(maybe[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist(), strict=True):
                 for k in range(a, b):
-                    hits[int(t.doc[p]), int(item[k])].append((p, int(at[k]), n))
+                    hits[int(t.doc[p]), int(item[k])].setdefault((p, int(at[k]), n), reading)
         for (doc, item), places in hits.items():
             lines = defaultdict(list)
-            for p, q, n in places:
-                lines[p - q].append((p, q, n))
+            for (p, q, n), reading in places.items():
+                lines[p - q].append((p, q, n, reading))
             # The best alignment; one that is shifted by a token or two (an insertion) may add to it if the slots agree.
             covered, values, back = set(), {}, {}
             for _, line in sorted(lines.items(), key=lambda x: (-len(x[1]), x[0])):
                 new, v, b, s = set(), dict(values), dict(back), True
-                for p, q, n in line:
+                for p, q, n, reading in line:
                     for i in range(n):
-                        if self.tokens.slot[q + i] and q + i not in new:
-                            x, y = self.tokens.value(q + i), t.value(p + i)
-                            s &= v.setdefault((self.tokens.token[q + i], x), y) == y and b.setdefault((self.tokens.token[q + i], y), x) == x
+                        if self.tokens.slot[reading][q + i]:
+                            x, y, kind = self.tokens.value(q + i), t.value(p + i), self.tokens.token[reading][q + i]
+                            s &= v.setdefault((kind, x), y) == y and b.setdefault((kind, y), x) == x
                         new.add(q + i)
                 if s and new - covered:
                     covered, values, back = covered | new, v, b

@@ -60,3 +60,10 @@ def test_against_brute_force(spark):
         kept = d.remove_leaks(frame, bench, block_chars=block)
         assert kept.columns == frame.columns and {r.doc_id for r in kept.collect()} == {i for i, *_ in docs if i is not None} - {i for i, _ in want}
     assert d.find_leaks(frame.limit(0), bench).count() == d.find_leaks(frame, bench.limit(0)).count() == 0
+
+
+def test_names_at_the_start_of_sentences():
+    item = "Tom has 5 apples. Sara gives him 7 more apples. Tom then eats 2 of the apples. Sara takes 3."
+    assert leaks(item, item.replace("Tom", "Ben").replace("Sara", "Ann")) == [(True, True)]
+    assert leaks(item, "Now it is said that " + item) == [(True, False)]
+    assert leaks("The boat that they saw is red and old", "we know that the boat that they saw is red and old") == [(True, False)]
