@@ -2,16 +2,17 @@
 
 Words become template tokens: numbers, units and names turn into typed placeholders, the others into their lower-case
 core. A capital at a sentence's start may be a name or not, so there are two readings: such words as they stand, and as
-names. Windows of template tokens are hashed in both; a hash table of the benchmark's windows finds equal ones in the documents.
+names. Windows of template tokens are hashed in both, and as raw words; a hash table of the benchmark's windows finds
+equal ones in the documents. Raw windows count as they are.
 Along an alignment of an item with a document, each slot value of the item must stand for one value of the document and
 the other way round, so a question asked again with other numbers or names is caught, and a chance likeness of
-templates is not. The benchmark is taken in blocks whose size is bounded, each against all documents.
+templates is not; of slots that disagree the most frequent stays, and windows with another are dropped. The benchmark is taken in blocks whose size is bounded, each against all documents.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -38,6 +39,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 SLICE = 4_000_000
 #: Of a word: no token; a number; a unit; a word that may be a name; any other.
 NONE, IS_NUM, IS_UNIT, CAPITAL, PLAIN = range(5)
+#: Readings.
+RAW, WORDS, NAMES = range(3)
 
 
 def classify(word: str) -> tuple[int, str, bool]:
@@ -58,7 +61,7 @@ def classify(word: str) -> tuple[int, str, bool]:
 
 class Tokens:
     """Template tokens of some texts, one after another; ``doc`` has the text's number of each token. ``token`` and
-    ``slot`` are by reading: with capitals at the start of sentences as words, then as names."""
+    ``slot`` are by reading: all words raw; with capitals at the start of sentences as words; with them as names."""
 
     def __init__(self, texts):
         import xxhash
@@ -84,8 +87,8 @@ class Tokens:
         keep = kind != NONE
         self.doc, self.codes = doc[keep], codes[keep]
         names = ((kind == CAPITAL) & ~first, kind == CAPITAL)
-        self.token = [np.select([kind == IS_NUM, unit, name], [NUM, UNIT, NAME], token).astype(np.uint64)[keep] for name in names]
-        self.slot = [((kind == IS_NUM) | unit | name)[keep] for name in names]
+        self.token = [token[keep]] + [np.select([kind == IS_NUM, unit, name], [NUM, UNIT, NAME], token).astype(np.uint64)[keep] for name in names]
+        self.slot = [np.zeros(len(self.doc), dtype=bool)] + [((kind == IS_NUM) | unit | name)[keep] for name in names]
         self.cores = [c for _, c, _ in known]
         self.starts = np.searchsorted(self.doc, np.arange(len(sizes) + 1))
 
@@ -117,7 +120,7 @@ class Benchmark:
         for item, (low, high) in enumerate(zip(t.starts, t.starts[1:], strict=False)):
             n = min(window, high - low)
             if n >= shortest:
-                # At least half of a window is words as such.
+                # At least half of a template's window is words as such.
                 for reading, words in enumerate(literal):
                     found[int(n), reading] += [(item, at) for at in range(low, high - n + 1) if 2 * (words[at + n] - words[at]) >= n]
         for (n, reading), places in found.items():
@@ -144,18 +147,30 @@ class Benchmark:
             lines = defaultdict(list)
             for (p, q, n), reading in places.items():
                 lines[p - q].append((p, q, n, reading))
-            # The best alignment; one that is shifted by a token or two (an insertion) may add to it if the slots agree.
+            # The best alignment; one that is shifted by a token or two (an insertion) may add to it as far as slots agree.
             covered, values, back = set(), {}, {}
-            for _, line in sorted(lines.items(), key=lambda x: (-len(x[1]), x[0])):
-                new, v, b, s = set(), dict(values), dict(back), True
+            for _, line in sorted(lines.items(), key=lambda x: (-len(x[1]), -sum(w[3] == RAW for w in x[1]), x[0])):
+                pairs = {}
                 for p, q, n, reading in line:
                     for i in range(n):
-                        if self.tokens.slot[reading][q + i]:
-                            x, y, kind = self.tokens.value(q + i), t.value(p + i), self.tokens.token[reading][q + i]
-                            s &= v.setdefault((kind, x), y) == y and b.setdefault((kind, y), x) == x
-                        new.add(q + i)
-                if s and new - covered:
-                    covered, values, back = covered | new, v, b
+                        if self.tokens.slot[reading or NAMES][q + i]:
+                            kind = self.tokens.token[reading or NAMES][q + i]
+                            pairs[q + i] = kind, self.tokens.value(q + i), t.value(p + i)
+                v, b = dict(values), dict(back)
+                counts = Counter(pairs.values())
+                for kind, x, y in sorted(counts, key=lambda k: (-counts[k], k[1] != k[2])):
+                    if v.get((kind, x), y) == y and b.get((kind, y), x) == x:
+                        v[kind, x], b[kind, y] = y, x
+                new, used = set(), set()
+                for _, q, n, reading in line:
+                    own = {pairs[q + i] for i in range(n) if self.tokens.slot[reading][q + i]}
+                    if all(v.get((kind, x)) == y for kind, x, y in own):
+                        new.update(range(q, q + n))
+                        used |= own
+                if new - covered:
+                    covered |= new
+                    values |= {(kind, x): y for kind, x, y in used}
+                    back |= {(kind, y): x for kind, x, y in used}
             same = all(x == y for (_, x), y in values.items())
             if covered:
                 yield doc, item, len(covered), int(self.size[item]), not same

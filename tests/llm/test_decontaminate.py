@@ -67,3 +67,13 @@ def test_names_at_the_start_of_sentences():
     assert leaks(item, item.replace("Tom", "Ben").replace("Sara", "Ann")) == [(True, True)]
     assert leaks(item, "Now it is said that " + item) == [(True, False)]
     assert leaks("The boat that they saw is red and old", "we know that the boat that they saw is red and old") == [(True, False)]
+
+
+def test_copies_without_literal_words_and_with_a_changed_slot():
+    item = "What is 12 + 15 + 18 + 20 + 22?"
+    assert leaks(item, "He asked: " + item + " Nobody knew.") == [(True, False)]
+    item = "the old bridge over the wide river was built in 1990 by the town and the mill beside it was opened in 1990 too when the council had sold the land to the miller"
+    assert leaks(item, item.replace("1990 by", "1991 by"))[0][0]
+    item = "the farmer sold 40 eggs to the baker and 12 eggs to the cook while 15 eggs were left in the basket that stood behind the kitchen door all day"
+    other = item.replace("40", "60").replace("12", "15")
+    assert leaks(item, other)[0][0]
