@@ -6,6 +6,9 @@ words that must meet in ``need`` has to share one of its ``n - need + 1`` rarest
 block needs ``need`` words of the templates' vocabulary (length filter); and behind the first shared word both sides
 need enough words left (positional filter). What passes is verified, so every match is found and no other.
 
+With ``wrapped``, a template whose label no block has is also looked for across line and sentence ends: in any run of
+consecutive words that is at most ``1 / least`` times as long as the template, around each word of its prefix.
+
 The templates are a stated list, so the index of their prefixes goes into the plan as constants: documents are matched
 where they are read, no text is shuffled, and no key can be hot. One pass before that counts the vocabulary's words.
 """
@@ -65,10 +68,11 @@ def _strings(values: list[str]) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
-def find_licenses(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, least: float = 0.8) -> DataFrame:
+def find_licenses(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, least: float = 0.8, wrapped: bool = False) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are not read): doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score (of the template words, the largest share found in a block; 1 with a base phrase; else 0)
-    and matches (the blocks found: block's number, label, share).
+    and matches (the blocks found: block's number, label, share). With ``wrapped``, runs of words count as blocks, without
+    a number, for labels that no line or sentence has.
 
     A null or empty text has no words: counts 0, null places, empty labels, score 0. Repeated rows and rows with a null
     doc_id each give a row, an empty table an empty one. Equal words of a block or template count once.
@@ -81,8 +85,8 @@ def find_licenses(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = T
         need = math.ceil(least * len(tokens) - 1e-9)
         prefix = tokens[: len(tokens) - need + 1]
         prefixes |= set(prefix)
-        entries.append(F.struct(F.lit(label).alias("label"), _strings(tokens).alias("tokens"), _strings(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(len(tokens)).alias("size")))
-    table = F.array(*entries) if entries else F.array().cast("array<struct<label:string,tokens:array<string>,prefix:array<string>,need:int,size:int>>")
+        entries.append(F.struct(F.lit(label).alias("label"), _strings(tokens).alias("tokens"), _strings(prefix).alias("prefix"), F.lit(need).alias("need"), F.lit(len(tokens)).alias("size"), F.lit(math.ceil(len(text.split()) / least - 1e-9)).alias("span")))
+    table = F.array(*entries) if entries else F.array().cast("array<struct<label:string,tokens:array<string>,prefix:array<string>,need:int,size:int,span:int>>")
     index, vocabulary = _strings(sorted(prefixes)), _strings(order)
 
     def passes(own: Column, t: Column) -> Column:
@@ -101,6 +105,18 @@ def find_licenses(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = T
     own = docs.select("doc_id", _lower().alias("_t")).withColumn("_w", _words("_t"))
     own = own.withColumn("matches", F.when(F.arrays_overlap("_w", index), found).otherwise(none)).drop("_t")
 
+    def share(t: Column) -> Column:
+        # Of the runs that hold a word of the prefix, the best one's.
+        at = F.filter(F.sequence(F.lit(1), F.size("_w")), lambda i: F.array_contains(t["prefix"], F.element_at("_w", i)))
+        runs = F.flatten(F.transform(at, lambda i: F.sequence(F.greatest(F.lit(1), i - t["span"] + 1), i)))
+        return F.array_max(F.transform(runs, lambda i: F.size(F.array_intersect(F.slice("_w", i, t["span"]), t["tokens"])))) / t["size"]
+
+    if wrapped:
+        open_ = lambda t: ~F.exists("matches", lambda m: m["label"] == t["label"]) & F.arrays_overlap("_w", t["prefix"]) & (F.size(F.array_intersect("_w", t["tokens"])) >= t["need"])
+        runs = F.transform(F.filter(table, open_), lambda t: F.struct(F.lit(None).cast("int").alias("block"), t["label"].alias("label"), share(t).alias("share")))
+        runs = F.filter(runs, lambda m: m["share"] >= least - 1e-9)
+        own = own.withColumn("matches", F.concat("matches", F.when(F.arrays_overlap("_w", index), runs).otherwise(none)))
+
     def places(phrase: str) -> Column:
         words = phrase.split()
         at = lambda i: F.reduce(_strings(words), F.struct(F.lit(True).alias("ok"), i.alias("at")), lambda s, w: F.struct((s["ok"] & (F.get("_w", s["at"]) == w)).alias("ok"), (s["at"] + 1).alias("at")), lambda s: s["ok"])

@@ -27,7 +27,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.find_licenses(read_table(spark, sf_dir, "documents"))
+    found = licenses.find_licenses(read_table(spark, sf_dir, "documents"), wrapped=True)
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 

@@ -42,3 +42,18 @@ def test_matches_name_the_block(spark):
     r = licenses.find_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert {(m.block, m.label) for m in r.matches} == {(1, "cc")}
     assert r.n_base == 0 and r.first_word is None and r.score == 1.0 and r.labels == "cc"
+
+
+def test_wrapped_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy"
+    far = "permission is hereby granted " + "filler words stand here " * 20 + "free of charge to any person obtaining a copy of this software"
+    texts = [mit, gpl, bsd, mpl, far, "", None]
+    found = licenses.find_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), wrapped=True)
+    got = {r.doc_id: r for r in found.collect()}
+    assert [got[i].labels for i in range(7)] == ["mit", "gpl", "bsd", "mpl", "", "", ""]
+    assert got[2].score == got[3].score == 1.0 and got[4].score == 0.0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
