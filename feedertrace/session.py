@@ -41,6 +41,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def source_bytes(df: DataFrame) -> int | None:
+    """The bytes of what ``df`` is read from, by Spark's own estimates (files' sizes; nothing is read), or None if it
+    has no estimate for a source."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    return sum(sizes) if all(x < unknown for x in sizes) else None
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
