@@ -19,8 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedertrace.llm.text import ascii_words, fold, slices
-from feedertrace.session import materialize
+from feedertrace.llm.text import ascii_words, fold, release, slices
+from feedertrace.session import materialize, source_bytes
 
 #: The end token: no word has a space.
 END = b" "
@@ -28,8 +28,10 @@ BASE = 1.5
 #: Bits of an entry, and of the filter for each.
 HASHES, BITS = 4, 9.5
 MOST_LEVELS = 64
-#: Characters whose words are counted, and scored, together.
-COUNTED, SCORED = 6_000_000, 2_000_000
+#: Characters whose words are looked at together, and characters whose counts leave as one.
+SCORED, COUNTED = 500_000, 6_000_000
+#: Shards in a partition of the counts, bytes of input for each partition, and the most partitions.
+SHARDS, INPUT, PARTITIONS = 16, 128 << 20, 50_000
 _LOW = np.uint64(0xFFFFFFFF)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -83,8 +85,17 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    unique, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return unique, np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
+
+
 def _counted(shards: int):
-    """What a stretch of text has for each shard, as one row: keys with counts, and words (joined by spaces) with theirs."""
+    """What a stretch of text has for each shard, as one row: keys with counts, and words (joined by spaces) with theirs.
+
+    Texts are read in small slices; the distinct n-grams of ``COUNTED`` characters are added up before they leave.
+    """
 
     def packed(keys: np.ndarray, n: np.ndarray, tokens: np.ndarray | None = None) -> pd.DataFrame:
         names, at = np.unique(shard_of(keys, shards), return_index=True)
@@ -93,12 +104,28 @@ def _counted(shards: int):
         said = [None if tokens is None else b" ".join([b"" if t == END else t for t in tokens[i:j]]) for i, j in spans]
         return pd.DataFrame({"shard": names.astype(np.int32), "keys": [keys[i:j].tobytes() for i, j in spans], "counts": [n[i:j].tobytes() for i, j in spans], "words": said})
 
+    def leave(pairs: list, words: list) -> Iterator[pd.DataFrame]:
+        if pairs:
+            yield packed(*summed(*zip(*pairs, strict=True)))
+            keys, counts, tokens = (np.concatenate(x) for x in zip(*words, strict=True))
+            codes, distinct = pd.factorize(tokens)
+            key = np.zeros(len(distinct), dtype=np.uint64)
+            key[codes] = keys
+            order = np.argsort(key)
+            yield packed(key[order], np.bincount(codes, weights=counts).astype(np.int64)[order], distinct[order])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in slices(batches, COUNTED):
+        pairs, words, chars = [], [], 0
+        for batch in slices(batches, SCORED):
             b = Batch(batch["text"])
-            yield packed(*np.unique(b.pairs, return_counts=True))
-            order = np.argsort(b.words)
-            yield packed(b.words[order], np.bincount(b.codes, minlength=len(b.tokens))[order], b.tokens[order])
+            pairs.append(np.unique(b.pairs, return_counts=True))
+            words.append((b.words, np.bincount(b.codes, minlength=len(b.tokens)), b.tokens))
+            chars += len(b.codes) and sum(len(x) for x in batch["text"] if x) + len(batch)
+            if chars >= COUNTED:
+                yield from leave(pairs, words)
+                pairs, words, chars = [], [], 0
+        yield from leave(pairs, words)
+        release()
 
     return run
 
@@ -128,23 +155,30 @@ def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of all rows of some shards: the exact counts of words, and each shard's filter."""
-    keys: dict[int, list] = {}
-    words: dict[bytes, int] = {}
+    """Of rows in the order of shards: the exact counts of a shard's words, and its filter. One shard is held at a time."""
+
+    def done(shard: int, keys: list, counts: list, words: dict[bytes, int]) -> Iterator[pd.DataFrame]:
+        held = build_filter(*summed(keys, counts))
+        if words:
+            yield pd.DataFrame({"token": [(t or END).decode() for t in words], "n": list(words.values()), "shard": pd.array([None] * len(words), dtype="Int32"), "size": 0, "filter": None})
+        yield pd.DataFrame({"token": [None], "n": [0], "shard": pd.array([shard], dtype="Int32"), "size": [held.nbytes], "filter": [held.tobytes()]})
+
+    now, keys, counts, words = None, [], [], {}
     for batch in batches:
         for shard, k, n, said in zip(batch["shard"], batch["keys"], batch["counts"], batch["words"], strict=True):
+            if shard != now:
+                if keys:
+                    yield from done(now, keys, counts, words)
+                now, keys, counts, words = shard, [], [], {}
             n = np.frombuffer(n, dtype="<u4")
-            keys.setdefault(shard, []).append((np.frombuffer(k, dtype=np.uint64), n))
+            keys.append(np.frombuffer(k, dtype=np.uint64))
+            counts.append(n)
             if said is not None:
                 for t, c in zip(said.split(b" "), n.tolist(), strict=True):
                     words[t] = words.get(t, 0) + c
-    if words:
-        yield pd.DataFrame({"token": [(t or END).decode() for t in words], "n": list(words.values()), "shard": pd.array([None] * len(words), dtype="Int32"), "size": 0, "filter": None})
-    for shard in sorted(keys):
-        k, n = (np.concatenate(x) for x in zip(*keys.pop(shard), strict=True))
-        unique, inverse = np.unique(k, return_inverse=True)
-        held = build_filter(unique, np.bincount(inverse, weights=n))
-        yield pd.DataFrame({"token": [None], "n": [0], "shard": pd.array([shard], dtype="Int32"), "size": [held.nbytes], "filter": [held.tobytes()]})
+    if keys:
+        yield from done(now, keys, counts, words)
+    release()
 
 
 class Filter:
@@ -218,6 +252,7 @@ def _scored(shared, total: int, distinct: int, weight: float):
                 context[b.starts] = word[b.codes[b.ends[0] - 1]] if len(first) else 0
                 out["score"] = _sums(interpolate(bloom.levels(b.pairs), context, word[b.codes], total, distinct, weight), b.starts)
             yield pd.DataFrame(out)
+        release()
 
     return run
 
@@ -258,7 +293,7 @@ def _apart(docs: DataFrame, filters: DataFrame, shards: int, total: int, distinc
     return grams.select("rid", "n", "pair_level", "context_level", "word_level").mapInPandas(run, "rid long, score double").groupBy("rid").agg(F.sum("score").alias("score"))
 
 
-def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weight: float = 0.6, frequent: int = 50_000, broadcast_bytes: int = 256 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weight: float = 0.6, frequent: int = 50_000, broadcast_bytes: int = 128 << 20) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are not read): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score.
 
@@ -267,10 +302,11 @@ def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weig
     nothing to learn from every count is 0 and scores stay finite. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select("doc_id", "text")
+    partitions = min(PARTITIONS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), (source_bytes(source) or 0) // INPUT))
+    shards = SHARDS * partitions
     training = source.where(fold(F.col("doc_id"), folds) != held_out).select("text")
-    counted = training.mapInPandas(_counted(shards), "shard int, keys binary, counts binary, words binary").repartition(shards // 4, "shard")
+    counted = training.mapInPandas(_counted(shards), "shard int, keys binary, counts binary, words binary").repartition(partitions, "shard").sortWithinPartitions("shard")
     model = materialize(counted.mapInPandas(_shards, "token string, n long, shard int, size long, filter binary"), "model")
     words = model.where("token is not null").select("token", "n")
     filters = model.where("token is null").select("shard", "size", "filter")
