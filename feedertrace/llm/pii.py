@@ -101,7 +101,7 @@ def find_spans(text: str | None) -> list[tuple[int, str, int]]:
             if last >= ip_to:
                 if m := _IP(text, last):
                     ip_to = m.end()
-                    if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+                    if all(len(x) <= 3 and int(x or "0") <= 255 for x in (part.lstrip("0") for part in m[0].split("."))):
                         found.append((last, "ip", ip_to))
                 else:
                     ip_to = _DIGITS(text, last).end()

@@ -60,3 +60,12 @@ def test_find_pii(spark):
     assert rows[0].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert pii.find_pii(docs.limit(0)).count() == 0
     assert pii.redact_pii(docs).columns == docs.columns
+
+
+def test_very_long_numbers():
+    for digit in "09":
+        for n in (4, 5000):
+            text = digit * n + ".1.1.1"
+            assert [x for x in pii.find_spans(text) if x[1] == "ip"] == ([(0, "ip", n + 6)] if digit == "0" else [])
+            assert pii.find_spans("1.1.1." + digit * n)[:1] == ([(0, "ip", n + 6)] if digit == "0" else [])
+    assert [x for x in pii.find_spans("1." * 5000) if x[1] == "ip"]
