@@ -1,17 +1,21 @@
-"""Repeated runs of lines, by prefix doubling over line-ID sequences; later copies are deleted.
-
-The suffix at a line is named by doubling: a line's name is a 128-bit hash, and the name of the ``2 ** (k + 1)`` lines
-from it on is made of the names of the two halves. Lines that occur once in the corpus cannot stand in a repeat, so
-their suffixes go first; names of all levels then come from one partitioning by document. Of the suffixes' common
-prefixes those of at least ``min_words`` words count. The shortest such prefix of a suffix is its run from a line on
-(and, mirrored, the run that ends at a line); it is equal to another if its first and its last ``2 ** k`` lines have the
-same names, where ``2 ** k`` is over half of it. Suffixes with equal runs are an interval of common prefixes; all its
-runs but the first are later copies. The runs from all lines and up to all lines of a longer repeat overlap and cover
-it wholly, so maximal repeats are deleted as such, and no more than ``log2(min_words)`` levels are needed, however long
-a repeat or a document is.
-
-Everything here is DataFrame functions. Counts and first places are gathered by partial aggregation; what is joined
-back to the many copies of a frequent line is a separate table, so that adaptive execution can split it.
+"""Repeated runs of lines: a suffix array over line-ID sequences by prefix doubling, and its common-prefix intervals.
+
+Lines that occur once in the corpus cannot stand in a repeat; the others get the rank of their kind as line ID. Prefix
+doubling then ranks suffixes: round ``k + 1`` sorts the distinct pairs (rank of the first ``2 ** k`` lines, rank of the
+``2 ** k`` lines behind them) by range and numbers them in order, so that a rank is a place in the order of suffixes by
+their first ``2 ** (k + 1)`` lines. A prefix that is unique has no rank, and its suffix leaves the later rounds; rounds
+go on until every prefix is unique, so until the longest repeat of the corpus is passed.
+
+Suffixes of equal rank in round ``k`` are the interval of those with a common prefix of at least ``2 ** k`` lines. The
+intervals of other lengths come from a descent: from the longest round to the first, an interval of length ``l`` is split
+by the ranks of the ``2 ** k`` lines at ``l`` into those of length ``l + 2 ** k``. A suffix moves into the longer
+interval if that begins with a copy which lies before it and does not overlap it. If not, it stays, and leaves a stand-in in the longer
+one, as it may be the first copy of yet longer ones. Whoever moves needs no stand-in: the interval's first copy serves in
+its place. At the end each suffix has the longest prefix that has an earlier copy; those are the maximal repeats, and
+from ``min_words`` words on they are deleted as later copies.
+
+Everything here is DataFrame functions. Groups are reduced to a first place and a count by partial aggregation, and what
+is joined back to the many copies of a frequent line is a separate table, so that adaptive execution can split it.
 """
 
 from __future__ import annotations
@@ -29,58 +33,77 @@ def _key() -> list[Column]:
     return [F.xxhash64(F.col("doc_id").isNull(), "doc_id").alias("_a"), F.xxhash64("text").alias("_b")]
 
 
-def _name(*parts: Column | str) -> Column:
-    """128 bits of ``parts``."""
-    return F.struct(F.xxhash64(*parts).alias("x"), F.xxhash64(F.lit(1), *parts).alias("y"))
+def _lines(docs: DataFrame) -> DataFrame:
+    """_a, _b, _doc, idx (among the lines with words), x and y (128 bits that name the line), words."""
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(_WORD))
+    rows = docs.select(*_key(), F.col("doc_id").alias("_doc"), F.posexplode(lines).alias("idx", "line"))
+    return rows.select("_a", "_b", "_doc", "idx", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"), F.regexp_count("line", F.lit(_WORD)).cast("long").alias("words"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """_a, _b, _doc, idx (among the lines with words), at (among all), name, words."""
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda s: s["line"].rlike(_WORD))
-    rows = docs.select(*_key(), F.col("doc_id").alias("_doc"), F.posexplode(lines).alias("idx", "s"))
-    line = F.col("s.line")
-    return rows.select("_a", "_b", "_doc", "idx", F.col("s.at").alias("at"), _name(line).alias("name"), F.regexp_count(line, F.lit(_WORD)).cast("long").alias("words"))
+def _ranked(keys: DataFrame, by: list[str], label: str) -> DataFrame:
+    """``keys`` with ``rank``, in the order of ``by``: partitions are ranges and ids grow from one to the next."""
+    return materialize(keys.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), label)
 
 
-def repeated_runs(docs: DataFrame, *, min_words: int = 8) -> DataFrame:
-    """The later copies of repeats: _a, _b (``_key``), low, high (positions among the lines with words, inclusive)."""
+def _positions(docs: DataFrame, min_words: int) -> DataFrame:
+    """_a, _b, _doc, idx, to (words up to here), r (line ID) of the lines that occur again, where a stretch of such lines
+    has ``min_words`` words at least."""
     lines = _lines(docs)
-    shared = materialize(lines.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "lines")
-    doc = Window.partitionBy("_a", "_b")
-    own = lines.join(shared, "name").groupBy("_a", "_b", "idx").agg(F.first("_doc").alias("_doc"), F.first("at").alias("at"), F.first("name").alias("c0"), F.first("words").alias("words"))
-    by_idx = doc.orderBy("idx")
-    own = own.withColumn("to", F.sum("words").over(by_idx)).withColumn("before", F.col("to") - F.col("words"))
-    levels = max(1, min_words.bit_length())
-    for k in range(levels - 1):
-        half = 1 << k
-        whole = F.lead("idx", half).over(by_idx) == F.col("idx") + half
-        other = F.lead(f"c{k}", half).over(by_idx)
-        own = own.withColumn(f"c{k + 1}", F.when(whole & other.isNotNull() & F.col(f"c{k}").isNotNull(), _name(f"c{k}", other)))
-    # d: the name of the lines that end here.
-    for k in range(levels):
-        back = (1 << k) - 1
-        own = own.withColumn(f"d{k}", F.when(F.lag("idx", back).over(by_idx) == F.col("idx") - back, F.lag(f"c{k}", back).over(by_idx)) if back else F.col("c0"))
-    names = [f"{x}{k}" for x in "cd" for k in range(levels)]
-    # A line has a word at least, so each frame has at most min_words rows.
-    ahead = doc.orderBy("before").rangeBetween(0, min_words - 1)
-    behind = doc.orderBy("to").rangeBetween(-(min_words - 1), 0)
-    here = F.struct("idx", "to", *(f"d{k}" for k in range(levels)))
-    there = F.struct("idx", "before", *(f"c{k}" for k in range(levels)))
-    own = own.withColumn("end", F.last(here).over(ahead)).withColumn("start", F.first(there).over(behind)).select("_a", "_b", "_doc", "idx", "before", "to", "end", "start", *names)
-
-    def runs(low: Column, high: Column, words: Column, first: str, last: str) -> DataFrame:
-        n = high - low + 1
-        level = F.floor(F.log2(n.cast("double")) + 1e-9).cast("int")
-        pick = lambda prefix: F.element_at(F.array(*(F.col(f"{prefix}{k}") for k in range(levels))), level + 1)
-        return own.where((words >= min_words) & (n <= min_words)).select("_a", "_b", "_doc", low.alias("low"), high.alias("high"), _name(pick(first), pick(last), n).alias("run"), pick(first).isNotNull().alias("p"), pick(last).isNotNull().alias("q")).where("p and q").drop("p", "q")
-
-    forward = runs(F.col("idx"), F.col("end.idx"), F.col("end.to") - F.col("before"), "c", "end.d")
-    backward = runs(F.col("start.idx"), F.col("idx"), F.col("to") - F.col("start.before"), "start.c", "d")
-    found = materialize(forward.union(backward).distinct(), "runs")
-    place = F.struct(F.col("_doc").isNull().alias("n"), F.col("_doc").alias("d"), "_b", "low")
-    first = found.groupBy("run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("run", "first")
-    first = materialize(first, "intervals")
-    return found.join(first, "run").where(~place.eqNullSafe(F.col("first"))).select("_a", "_b", "low", "high")
+    shared = _ranked(lines.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x", "y"), ["x", "y"], "lines")
+    own = lines.join(shared, ["x", "y"]).groupBy("_a", "_b", "idx").agg(F.first("_doc").alias("_doc"), F.first("words").alias("words"), F.first("rank").alias("r"))
+    own = own.withColumn("stretch", F.col("idx") - F.row_number().over(Window.partitionBy("_a", "_b").orderBy("idx")))
+    stretch = Window.partitionBy("_a", "_b", "stretch")
+    own = own.withColumn("all", F.sum("words").over(stretch)).withColumn("to", F.sum("words").over(stretch.orderBy("idx")))
+    return materialize(own.where(F.col("all") >= min_words).select("_a", "_b", "_doc", "idx", "words", "to", "r"), "positions")
+
+
+def suffix_ranks(positions: DataFrame) -> list[DataFrame]:
+    """By round k: (_a, _b, idx, r), the rank of the ``2 ** k`` lines from idx on, where others have the same."""
+    levels = [positions.select("_a", "_b", "idx", "r")]
+    while True:
+        half = 1 << (len(levels) - 1)
+        then = Window.partitionBy("_a", "_b").orderBy("idx").rangeBetween(half, half)
+        pairs = levels[-1].withColumn("then", F.first("r").over(then)).where("then IS NOT NULL")
+        again = pairs.groupBy("r", "then").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r", "then")
+        ranks = _ranked(again, ["r", "then"], f"ranks-{len(levels)}")
+        if ranks.isEmpty():
+            return levels
+        levels.append(materialize(pairs.join(ranks, ["r", "then"]).select("_a", "_b", "idx", F.col("rank").alias("r")), f"suffixes-{len(levels)}"))
+
+
+def longest_earlier(positions: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(_a, _b, idx, l): of each suffix, the lines of its longest prefix that has an earlier copy without overlap."""
+    state = positions.select("_a", "_b", "_doc", "idx", F.lit(0).alias("l"), F.lit(0).cast("long").alias("g"), F.lit(True).alias("own"))
+    for k in reversed(range(len(levels))):
+        far = levels[k].select("_a", "_b", F.col("idx").alias("_at"), "r")
+        state = materialize(state.withColumn("_at", F.col("idx") + F.col("l")).join(far, ["_a", "_b", "_at"], "left").drop("_at"), f"at-{k}")
+        place = F.struct(F.col("_doc").isNull().alias("n"), F.col("_doc").alias("d"), "_b", "_a", "idx")
+        groups = state.where("r IS NOT NULL").groupBy("g", "r").agg(F.min(place).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        # An interval's name: 0 is the whole array; ids of a level don't meet those of another.
+        groups = materialize(groups.withColumn("to", (F.monotonically_increasing_id() + 1) * 64 + k), f"intervals-{k}")
+        found = state.where("r IS NOT NULL").join(groups, ["g", "r"], "left")
+        there = (F.col("m._a") == F.col("_a")) & (F.col("m._b") == F.col("_b"))
+        length = F.col("l") + F.lit(1 << k)
+        moves = F.coalesce(~there | (F.col("m.idx") + length <= F.col("idx")), F.lit(False))
+        stay = F.struct("l", "g", "own")
+        longer = lambda own: F.struct(length.alias("l"), F.col("to").alias("g"), own.alias("own"))
+        rows = F.when(F.col("to").isNull(), F.array(stay)).when(moves, F.array(longer(F.col("own")))).otherwise(F.array(stay, longer(F.lit(False))))
+        found = found.select("_a", "_b", "_doc", "idx", F.explode(rows).alias("s")).select("_a", "_b", "_doc", "idx", "s.*")
+        state = state.where("r IS NULL").drop("r").unionByName(found)
+    return state.where("own AND l > 0").select("_a", "_b", "idx", "l")
+
+
+def repeated_runs(docs: DataFrame, *, min_words: int = 8) -> DataFrame:
+    """The later copies of maximal repeats: _a, _b (``_key``), low, high (positions among the lines with words,
+    inclusive). No run lies within another; two of a document may overlap."""
+    positions = _positions(docs, min_words)
+    found = longest_earlier(positions, suffix_ranks(positions)).withColumn("high", F.col("idx") + F.col("l") - 1)
+    ends = positions.select("_a", "_b", F.col("idx").alias("high"), F.col("to").alias("end"))
+    begins = positions.select("_a", "_b", "idx", (F.col("to") - F.col("words")).alias("before"))
+    found = found.join(ends, ["_a", "_b", "high"]).join(begins, ["_a", "_b", "idx"]).where(F.col("end") - F.col("before") >= min_words)
+    reached = F.max("high").over(Window.partitionBy("_a", "_b").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("reached", reached).where("reached IS NULL OR high > reached")
+    return materialize(found.select("_a", "_b", F.col("idx").alias("low"), "high"), "runs")
 
 
 def dedup_lines(docs: DataFrame, *, min_words: int = 8) -> DataFrame:
@@ -89,12 +112,17 @@ def dedup_lines(docs: DataFrame, *, min_words: int = 8) -> DataFrame:
 
     Lines are split at \\n. A run counts from ``min_words`` words on; lines without a word are no part of a run and stay.
     The first copy is that of the smallest doc_id (nulls last; then by the text's hash), then of the first line. Copies
-    within a document count too. A document all of whose lines are copies keeps its row, with an empty text; a null or
-    empty text stays as it is with no lines deleted. Rows equal in doc_id and text are one document and get the same
-    text. An empty table gives an empty one.
+    within a document count too, but only where they start behind the first one's end, so a run that repeats itself keeps
+    one whole copy. What is deleted depends on the input alone: a run whose first copy loses lines, as these are a copy of
+    something earlier, is still deleted elsewhere. A document all of whose lines are copies keeps its row, with an empty
+    text; a null or empty text stays as it is with no lines deleted. Rows equal in doc_id and text are one document and
+    get the same text. Texts of any length are taken whole. An empty table gives an empty one.
     """
     runs = repeated_runs(docs, min_words=min_words)
-    gone = runs.select("_a", "_b", F.explode(F.sequence("low", "high")).alias("i")).groupBy("_a", "_b").agg(F.collect_set("i").alias("_gone"))
+    # Runs of a document may overlap: each gives the lines behind what those before it reach.
+    reached = F.max("high").over(Window.partitionBy("_a", "_b").orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("low", F.greatest("low", F.coalesce(reached + 1, F.lit(0))))
+    gone = runs.select("_a", "_b", F.sequence("low", "high").alias("i")).groupBy("_a", "_b").agg(F.flatten(F.collect_list("i")).alias("_gone"))
     keyed = docs.drop("n_lines", "n_deleted", "_a", "_b", "_gone").select("*", *_key()).join(gone, ["_a", "_b"], "left").drop("_a", "_b")
     lines = F.split("text", "\n")
     worded = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(_WORD), i)), lambda i: i.isNotNull())

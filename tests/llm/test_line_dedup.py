@@ -6,7 +6,7 @@ from feedertrace.llm import line_dedup
 
 
 def brute(docs, min_words):
-    """Longest run from each line that has an earlier equal; all those of enough words are deleted."""
+    """Longest run from each line that has an earlier equal without overlap; all those of enough words are deleted."""
     order = sorted(range(len(docs)), key=lambda i: docs[i][0])
     lines = [[x for x in (docs[i][1] or "").split("\n") if x.split()] for i in range(len(docs))]
     places = [(o, i, p) for o, i in enumerate(order) for p in range(len(lines[i]))]
@@ -17,7 +17,7 @@ def brute(docs, min_words):
             k = 0
             while p + k < len(lines[i]) and q + k < len(lines[j]) and lines[i][p + k] == lines[j][q + k]:
                 k += 1
-            best = max(best, k)
+            best = max(best, min(k, p - q) if i == j else k)
         if sum(len(x.split()) for x in lines[i][p : p + best]) >= min_words:
             gone |= {(i, p + k) for k in range(best)}
     out = {}
@@ -56,6 +56,31 @@ def test_against_brute_force(spark, seed, min_words):
     assert (rows[21].n_lines, rows[21].n_deleted, rows[22].n_lines, rows[22].n_deleted) == (0, 0, 1, 0)
 
 
+def test_copies_that_overlap_leave_the_first_whole(spark):
+    rng = random.Random(9)
+    texts = ["\n".join(["w x y z"] * 4), "\n".join(["a"] * 21), "\n".join("pqr" * 9), "\n".join(["a"] * 10)]
+    texts += ["\n".join(rng.choices("kl", k=40)) for _ in range(6)]
+    docs = list(enumerate(texts))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), min_words=8).collect()}
+    assert got == brute(docs, 8) and got[0] == "w x y z\nw x y z"
+
+
+def test_maximal_runs_and_ranks(spark):
+    copies = "\n".join(f"line number {i} of the text" for i in range(37))
+    frame = spark.createDataFrame([(1, copies), (2, "x y z\n" + copies + "\nq"), (3, copies + "\nend of it all")], "doc_id long, text string")
+    runs = sorted((r.low, r.high) for r in line_dedup.repeated_runs(frame).collect())
+    assert runs == [(0, 36), (1, 37)]
+    levels = line_dedup.suffix_ranks(line_dedup._positions(frame, 8))
+    assert len(levels) == 6  # the longest repeat has 37 lines
+    line = {r.r: r.idx for r in levels[0].collect() if True}
+    assert len(line) == 37
+    for k, level in enumerate(levels):
+        ranks = {}
+        for r in level.collect():
+            ranks.setdefault(r.r, []).append((r._a, r.idx))
+        assert all(len(x) == 3 for x in ranks.values()) and len(ranks) == 37 - (1 << k) + 1
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, n_lines int"
     assert line_dedup.dedup_lines(spark.createDataFrame([], schema)).count() == 0
