@@ -16,7 +16,6 @@ def exact(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(f"{FOLDER}/byte_bpe_50k.json")
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
@@ -26,6 +25,13 @@ def test_ids_are_those_of_the_defining_library(text):
     assert packing.encoder(FOLDER, "byte_bpe_50k")(text) == exact([text])[0]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "a", " hi", "é", "中", "\n", "<"]), max_size=8).map("".join))
+def test_special_tokens_in_a_text(text):
+    ids = packing.encoder(FOLDER, "byte_bpe_50k")(text)
+    assert ids == exact([text])[0] and ids.count(50256) == text.count("<|endoftext|>")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
 def test_plan_places_each_rank_once_without_overlap(counts):
