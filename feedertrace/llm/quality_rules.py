@@ -4,7 +4,7 @@ Each document is measured once. Failures are counted by host, in partial sums, s
 row per task before it is shuffled. A beta prior fitted to the hosts' own failure rates (method of moments) shrinks the
 rate of each; hosts with few documents stay near the corpus. Hosts whose shrunk rate reaches ``host_limit`` are
 rejected as a whole, and the verdicts are joined back. The host table has a row per host: it is broadcast if it is
-small enough by Spark's own statistics, and shuffled if not, with hosts salted so that no task gets one host's rows.
+small enough by Spark's own statistics, and shuffled if not, with the rows of hot hosts salted so that no task gets them all.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from feedertrace.session import materialize
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 SYMBOLS = "#*$%&|<>"
+#: A host with over one in ``HOT`` of all rows is salted.
+HOT = 1000
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]").search
 _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -99,14 +101,21 @@ def judge(docs: DataFrame, *, host: str = "source", host_limit: float = 0.5, sal
 
     Kept is false if any rule fails or the host is rejected. A null text has no words and so fails. Rows of a null
     host share one host of their own. Repeated rows and rows of a null doc_id each give a row and count at their host.
-    An empty table gives an empty one.
+    Texts of any length are measured whole. An empty table gives an empty one.
     """
     source = docs.select("doc_id", F.col(host).cast("string").alias("host"), "text")
     measured = materialize(source.mapInPandas(_measured, f"doc_id long, host string, {MEASURES}"), "measured")
     measured = measured.withColumn("failed", rules_failed())
-    hosts = host_rates(measured).select(F.col("host").alias("_host"), "shrunk", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(salts)).cast("int")
-    out = measured.join(hosts, measured.host.eqNullSafe(F.col("_host")) & (salt == F.col("_salt")))
+    hosts = materialize(host_rates(measured).select(F.col("host").alias("_host"), "n", "shrunk"), "hosts")
+    # Hosts with over 1 / HOT of all rows: fewer than HOT, whatever the corpus.
+    total = hosts.agg(F.sum("n")).first()[0] or 0
+    hot = [r._host for r in hosts.where(F.col("n") * HOT > total).select("_host").collect()]
+    is_hot = lambda c: F.coalesce(c.isin([h for h in hot if h is not None]), F.lit(None in hot))
+    copies = F.when(is_hot(F.col("_host")), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    hosts = hosts.select("_host", "shrunk", F.explode(copies).alias("_salt"))
+    salt = F.when(is_hot(F.col("host")), F.monotonically_increasing_id() % salts).otherwise(0).cast("int")
+    measured = measured.withColumn("_own", salt)
+    out = measured.join(hosts, F.col("host").eqNullSafe(F.col("_host")) & (F.col("_own") == F.col("_salt")))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), "failed",
         F.col("shrunk").alias("host_rate"), (~F.col("failed") & (F.col("shrunk") < host_limit)).alias("kept"),
