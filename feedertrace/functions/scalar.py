@@ -86,6 +86,12 @@ def day_of_file(path: Column | str) -> Column:
     return F.try_to_date(F.nullif(F.regexp_extract(col(path), r"(\d{4}-\d{2}-\d{2})[^/]*$", 1), F.lit("")), "yyyy-MM-dd")
 
 
+def stamp(at: Column | str, form: str = "run") -> Column:
+    """A time as text: for a run's id or a report's name ('run'), a run's date ('iso', of a UTC time) or a day's file ('day'). Times are given, not
+    taken from a clock, so that a repeated run writes the same."""
+    return F.date_format(col(at), {"run": "yyyy-MM-dd_HHmmss", "iso": "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "day": "yyyy-MM-dd"}[form])
+
+
 def recommendation_type(current_tx, current_feeder, recommended_feeder) -> Column:
     """new_assignment before unknown_feeder before same_feeder_ambiguous before cross_feeder_likely_gis_error."""
     a, b = col(current_feeder), col(recommended_feeder)

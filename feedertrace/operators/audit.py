@@ -10,7 +10,8 @@ from feedertrace.functions.scalar import normalize_id, share
 
 
 def known_mapping(service_points: DataFrame, signature_badges: DataFrame) -> DataFrame:
-    """(badge, transformer) of the asset register, cleaned, one row a badge, for badges that have a signature."""
+    """(badge, transformer) of the asset register, cleaned, one row a badge, for badges that have a signature. A badge that
+    the register has twice gets its smallest transformer: rows of a table have no first one."""
     from feedertrace.functions.scalar import strip
 
     rows = service_points.select(normalize_id(strip("BADGENUMBER")).alias("badge"), normalize_id(strip("TRANSFORMERBANKOBJECTID")).alias("transformer")).where("badge IS NOT NULL")
@@ -48,6 +49,11 @@ def cluster_sizes(clusters: DataFrame, mapping: DataFrame) -> DataFrame:
     return clusters.join(mapping, "badge", "left").groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_size"), F.count("transformer").alias("mapped_peers"))
 
 
+def newly_flagged(diff: DataFrame) -> DataFrame:
+    """The corrections that ``compare.corrections_diff`` has as new, as input for ``rank_corrections``."""
+    return diff.where("status = 'newly_flagged'").select("badge", F.col("cluster_new").alias("cluster"), F.col("current_new").alias("current"), F.col("recommended_new").alias("recommended"))
+
+
 def rank_corrections(found: DataFrame, clusters: DataFrame, mapping: DataFrame) -> DataFrame:
     """``found`` with votes for both transformers, majority_share and confidence_gap."""
     tally = votes(clusters, mapping)

@@ -9,6 +9,10 @@ from feedertrace.functions.scalar import blank_to_null, haversine_m, normalize_i
 from feedertrace.operators import audit
 
 
+#: What is reported of a transformer.
+UNIT = ("structure", "feeder", "subtype", "vault", "lat", "lon", "kva")
+
+
 def service_points(rows: DataFrame) -> DataFrame:
     """The register's meters, cleaned, one row a badge (the first by its columns)."""
     own = rows.select(
@@ -21,7 +25,7 @@ def service_points(rows: DataFrame) -> DataFrame:
 
 def transformers(rows: DataFrame) -> DataFrame:
     """The register's transformers, one row a tag."""
-    own = rows.select(blank_to_null("TAG").alias("tag"), F.col("STRUCTNO").alias("structure"), F.col("d_FEEDERID").alias("feeder"), F.col("d_SUBTYPECD").alias("subtype"), to_number("POINT_X").alias("lon"), to_number("POINT_Y").alias("lat"), to_number("TOTALKVA").alias("kva")).where("tag IS NOT NULL")
+    own = rows.select(blank_to_null("TAG").alias("tag"), F.col("STRUCTNO").alias("structure"), F.col("FEEDERID").alias("feeder_raw"), F.col("d_FEEDERID").alias("feeder"), F.col("d_SUBTYPECD").alias("subtype"), F.col("VAULTCD").alias("vault"), to_number("POINT_X").alias("lon"), to_number("POINT_Y").alias("lat"), to_number("TOTALKVA").alias("kva")).where("tag IS NOT NULL")
     return own.groupBy("tag").agg(F.min(F.struct(*own.columns[1:])).alias("s")).select("tag", "s.*")
 
 
@@ -32,27 +36,30 @@ def transformer_lookup(points: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def enrich_corrections(found: DataFrame, points: DataFrame, lookup: DataFrame, model: DataFrame) -> DataFrame:
-    """Corrections with the meter's address and place, both transformers' feeders and distances, and a type.
+    """Corrections with the meter's address, feeder and places, all that the register has of both transformers (raw feeder
+    codes apart), their distances from the meter's place in the register, and a type.
 
     ``model`` has badge, lat and lon. Dimension tables are joined without hints: Spark broadcasts what is small.
     """
-    meter = points.select("badge", "address", "city", F.col("lon").alias("gis_lon"), F.col("lat").alias("gis_lat"))
+    meter = points.select("badge", "address", "city", F.col("feeder").alias("badge_feeder"), F.col("lon").alias("gis_lon"), F.col("lat").alias("gis_lat"))
     own = found.join(meter, "badge", "left").join(model.select("badge", F.col("lat").alias("model_lat"), F.col("lon").alias("model_lon")), "badge", "left")
     for side in ("current", "recommended"):
-        unit = lookup.select(F.col("transformer").alias(side), F.col("feeder").alias(f"{side}_feeder"), F.col("lat").alias(f"{side}_lat"), F.col("lon").alias(f"{side}_lon"))
-        own = own.join(unit, side, "left").withColumn(f"{side}_distance_m", F.round(haversine_m("model_lat", "model_lon", f"{side}_lat", f"{side}_lon"), 1))
+        unit = lookup.select(F.col("transformer").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in UNIT))
+        own = own.join(unit, side, "left").withColumn(f"{side}_distance_m", F.round(haversine_m("gis_lat", "gis_lon", f"{side}_lat", f"{side}_lon"), 1))
     own = own.withColumn("model_gis_distance_m", F.round(haversine_m("model_lat", "model_lon", "gis_lat", "gis_lon"), 1))
     own = own.withColumn("location_differs", F.coalesce(F.col("model_gis_distance_m") > 100, F.lit(False)))
-    return own.withColumn("recommendation_type", recommendation_type("current", "current_feeder", "recommended_feeder")).drop("current_lat", "current_lon", "recommended_lat", "recommended_lon")
+    return own.withColumn("recommendation_type", recommendation_type("current", "current_feeder", "recommended_feeder"))
 
 
 def missing_from_register(clusters: DataFrame, points: DataFrame, active: DataFrame, mapping: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Recently active clustered badges that the register lacks, with their cluster's majority."""
+    """Recently active clustered badges that the register lacks, with their cluster's majority and what the register has
+    of that transformer; the surest first."""
     own = clusters.join(points.select("badge"), "badge", "left_anti").join(active.select("badge").distinct(), "badge", "left_semi")
     top = audit.majority(audit.votes(clusters, mapping)).select("cluster", F.col("transformer").alias("majority_transformer"), F.col("votes").alias("majority_votes"))
     own = own.join(audit.cluster_sizes(clusters, mapping), "cluster").join(top, "cluster", "left").fillna(0, ["majority_votes"])
     own = own.withColumn("majority_share", share("majority_votes", "mapped_peers", 3))
-    return own.join(lookup.select(F.col("transformer").alias("majority_transformer"), F.col("feeder").alias("majority_feeder")), "majority_transformer", "left")
+    unit = lookup.select(F.col("transformer").alias("majority_transformer"), *(F.col(c).alias(f"recommended_{c}") for c in UNIT if c != "subtype"))
+    return own.join(unit, "majority_transformer", "left").orderBy(F.desc_nulls_last("majority_share"), F.desc("mapped_peers"), "badge")
 
 
 def clusters_enriched(clusters: DataFrame, points: DataFrame, model: DataFrame) -> DataFrame:

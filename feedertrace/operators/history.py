@@ -41,7 +41,8 @@ def add_presence(old: DataFrame, clusters: DataFrame, run_id: str) -> DataFrame:
 
 
 def add_pairs(old: DataFrame, clusters: DataFrame, run_id: str) -> DataFrame:
-    new = member_pairs(clusters).distinct().select("badge_a", "badge_b", F.lit(1).cast("long").alias("times_together"), F.lit(run_id).alias("first_together"), F.lit(run_id).alias("last_together"))
+    # A badge has one cluster in a run: where rows are distinct, so are pairs.
+    new = member_pairs(clusters.select("badge", "cluster").distinct()).select("badge_a", "badge_b", F.lit(1).cast("long").alias("times_together"), F.lit(run_id).alias("first_together"), F.lit(run_id).alias("last_together"))
     return _merge(old, new, ["badge_a", "badge_b"], "times_together", "first_together", "last_together")
 
 
@@ -54,15 +55,18 @@ def add_recommendations(old: DataFrame, found: DataFrame, run_id: str) -> DataFr
 def peer_stability(clusters: DataFrame, pairs: DataFrame, presence: DataFrame, n_runs: int) -> DataFrame:
     """(badge, peer_stability, peers_considered): over its peers, the mean share of common runs spent together.
 
-    A badge that presence lacks counts as seen in all runs; a pair never together counts 0.
+    A badge that presence lacks counts as seen in all runs; a pair never together counts 0; a badge alone in its cluster
+    has no stability and 0 peers. Only pairs that were together once are looked at: the others add nothing to the sum,
+    and their number follows from the cluster's size, so a cluster's members are never paired here.
     """
-    seen = lambda side: presence.select(F.col("badge").alias(f"badge_{side}"), F.col("n_runs_seen").alias(f"n_{side}"))
-    own = member_pairs(clusters).join(pairs.select("badge_a", "badge_b", "times_together"), ["badge_a", "badge_b"], "left")
-    own = own.join(seen("a"), "badge_a", "left").join(seen("b"), "badge_b", "left")
-    runs = F.least(F.coalesce("n_a", F.lit(n_runs)), F.coalesce("n_b", F.lit(n_runs)))
-    own = own.withColumn("part", F.coalesce("times_together", F.lit(0)) / F.nullif(runs, F.lit(0)))
-    ends = own.select(F.explode(F.array("badge_a", "badge_b")).alias("badge"), "part")
-    return ends.groupBy("badge").agg(F.round(F.avg("part"), 3).alias("peer_stability"), F.count(F.lit(1)).alias("peers_considered"))
+    own = clusters.join(presence.select("badge", "n_runs_seen"), "badge", "left").select("badge", "cluster", F.coalesce("n_runs_seen", F.lit(n_runs)).alias("runs"))
+    side = lambda s: own.select(F.col("badge").alias(f"badge_{s}"), F.col("cluster").alias(f"cluster_{s}"), F.col("runs").alias(f"runs_{s}"))
+    met = pairs.select("badge_a", "badge_b", "times_together").join(side("a"), "badge_a").join(side("b"), "badge_b").where("cluster_a = cluster_b")
+    met = met.withColumn("part", F.col("times_together") / F.nullif(F.least("runs_a", "runs_b"), F.lit(0)))
+    sums = met.select(F.explode(F.array("badge_a", "badge_b")).alias("badge"), "part").groupBy("badge").agg(F.sum("part").alias("part"))
+    sizes = own.groupBy("cluster").agg(F.count(F.when(F.col("runs") > 0, 1)).alias("size"))
+    out = own.join(sizes, "cluster").join(sums, "badge", "left").withColumn("peers_considered", F.when(F.col("runs") > 0, F.col("size") - 1).otherwise(0))
+    return out.select("badge", F.round(F.coalesce("part", F.lit(0.0)) / F.nullif("peers_considered", F.lit(0)), 3).alias("peer_stability"), "peers_considered")
 
 
 def corrections_with_stability(ranked: DataFrame, clusters: DataFrame, pairs: DataFrame, presence: DataFrame, recommendations: DataFrame, n_runs: int) -> DataFrame:

@@ -44,6 +44,11 @@ def last_days(rows: DataFrame, n: int, *, day: str = "day") -> DataFrame:
     return rows.where(F.lit(False)) if newest is None else rows.where(F.col(day) > F.date_sub(F.lit(newest), n))
 
 
+def active_badges(rows: DataFrame, days: int = DEFAULT.recent_days, *, day: str = "day") -> DataFrame:
+    """(badge) of all that have a row on one of the ``days`` latest days there are."""
+    return latest_days(rows, days, day=day).where("badge IS NOT NULL").select("badge").distinct()
+
+
 def latest_days(rows: DataFrame, n: int, *, day: str = "day", complete: bool = False) -> DataFrame:
     """Rows of the ``n`` latest days that have rows; with ``complete``, fewer are an error."""
     days = [r[0] for r in rows.select(day).where(F.col(day).isNotNull()).distinct().orderBy(F.desc(day)).limit(n).collect()]
@@ -64,9 +69,20 @@ def signatures(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:
     newest = own.agg(F.max("day")).first()[0]
     per_day, n = config.intervals_per_day, config.signature_length
     at = F.datediff("day", F.date_sub(F.lit(newest), config.window_days - 1)) * per_day + F.col("slot")
-    held = own.where("pu IS NOT NULL").groupBy("badge").agg(F.map_from_entries(F.collect_list(F.struct(at.alias("at"), F.col("pu").cast("float").alias("pu")))).alias("m"))
-    badges = own.select("badge").distinct().join(held, "badge", "left")
-    return badges.select("badge", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.element_at(F.coalesce("m", F.create_map().cast("map<int,float>")), i)).alias("signature"))
+    # What was measured, in order, with an end mark behind the last slot; gaps are filled in one pass from one to the next.
+    value = F.when(F.col("pu").isNotNull(), F.struct(at.alias("at"), F.col("pu").cast("float").alias("pu")))
+    end = F.struct(F.lit(n).alias("at"), F.lit(None).cast("float").alias("pu"))
+    held = own.groupBy("badge").agg(F.array_append(F.array_sort(F.collect_list(value)), end).alias("s"))
+
+    def filled(own: Column) -> Column:
+        # own: the list; bound here, it is sorted once.
+        def step(x: Column, i: Column) -> Column:
+            before = F.when(i == 0, -1).otherwise(F.get(own, i - 1)["at"])
+            return F.concat(F.array_repeat(F.lit(None).cast("float"), x["at"] - before - 1), F.array(x["pu"]))
+
+        return F.slice(F.flatten(F.transform(own, step)), 1, n)
+
+    return held.select("badge", F.element_at(F.transform(F.array("s"), filled), 1).alias("signature"))
 
 
 def day_signatures(rows: DataFrame, config: Config = DEFAULT) -> DataFrame:

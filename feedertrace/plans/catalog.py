@@ -16,23 +16,23 @@ from feedertrace.session import materialize, read_table
 
 _K = "c_custkey"
 _CELL = "CAST(floor(c_custkey / 6) AS BIGINT)"
-#: name: (table, expressions, condition)
+#: name: (table, expressions, condition). All rows of a table are taken: a badge that a side lacks has another key there.
 STAND_INS: dict[str, tuple[str, list[str], str]] = {
     "model": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 53 = 0 THEN NULL ELSE 38.8e0 + ({_K} % 97) * 0.0005e0 END AS lat", f"-77.0e0 - (CAST(floor({_K} / 97) AS BIGINT) % 83) * 0.0006e0 AS lon"], "true"),
-    "gis": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", "c_name AS address", "c_mktsegment AS city", f"38.8e0 + ({_K} % 97) * 0.0005e0 + CASE WHEN {_K} % 9 = 0 THEN 0.002e0 ELSE 0.0001e0 END AS lat", f"-77.0e0 - (CAST(floor({_K} / 97) AS BIGINT) % 83) * 0.0006e0 AS lon", f"'F' || CAST({_K} % 4 AS STRING) AS feeder", f"CAST(100 + {_CELL} % 40 AS STRING) AS gis_transformer", f"'G' || CAST({_CELL} % 40 AS STRING) AS bank_tag"], f"{_K} % 17 <> 0"),
-    "new_run": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"{_CELL} AS cluster"], f"{_K} % 31 <> 0"),
-    "old_run": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 11 = 0 THEN {_CELL} + 1 WHEN {_K} % 600 < 12 THEN {_CELL} - {_CELL} % 2 ELSE {_CELL} END AS cluster"], f"{_K} % 29 <> 0"),
-    "mid_run": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"CAST(floor(({_K} + 2) / 6) AS BIGINT) AS cluster"], f"{_K} % 23 <> 0"),
-    "mapping": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 7 = 0 THEN NULL WHEN {_K} % 5 = 0 THEN 'T' || CAST(c_nationkey AS STRING) ELSE CAST(100 + {_CELL} % 40 AS STRING) END AS transformer"], f"{_K} % 13 <> 0"),
-    "old_mapping": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 8 = 0 THEN NULL WHEN {_K} % 5 = 0 THEN 'T' || CAST(c_nationkey % 9 AS STRING) ELSE CAST(100 + {_CELL} % 40 AS STRING) END AS transformer"], f"{_K} % 13 <> 0"),
-    "ignored": ("customer", [f"'B' || CAST({_K} AS STRING) AS badge", f"CAST(100 + {_CELL} % 40 AS STRING) || '.0' AS recommended"], f"{_K} % 3 = 0"),
-    "lookup": ("nation", ["CAST(100 + n_nationkey AS STRING) AS transformer", "'F' || CAST(n_regionkey AS STRING) AS feeder", "38.81e0 + n_nationkey * 0.001e0 AS lat", "-77.01e0 AS lon"], "true"),
-    "active": ("orders", ["'B' || CAST(o_custkey AS STRING) AS badge"], "o_orderkey % 3 = 0"),
+    "gis": ("customer", [f"CASE WHEN {_K} % 17 = 0 THEN 'G' ELSE 'B' END || CAST({_K} AS STRING) AS badge", "c_name AS address", "c_mktsegment AS city", f"38.8e0 + ({_K} % 97) * 0.0005e0 + CASE WHEN {_K} % 9 = 0 THEN 0.002e0 ELSE 0.0001e0 END AS lat", f"-77.0e0 - (CAST(floor({_K} / 97) AS BIGINT) % 83) * 0.0006e0 AS lon", f"'F' || CAST({_K} % 4 AS STRING) AS feeder", f"CAST(100 + {_CELL} % 40 AS STRING) AS gis_transformer", f"'G' || CAST({_CELL} % 40 AS STRING) AS bank_tag"], "true"),
+    "new_run": ("customer", [f"CASE WHEN {_K} % 31 = 0 THEN 'X' ELSE 'B' END || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 31 = 0 THEN 100000000 + {_K} ELSE {_CELL} END AS cluster"], "true"),
+    "old_run": ("customer", [f"CASE WHEN {_K} % 29 = 0 THEN 'Y' ELSE 'B' END || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 11 = 0 THEN {_CELL} + 1 WHEN {_K} % 600 < 12 THEN {_CELL} - {_CELL} % 2 ELSE {_CELL} END AS cluster"], "true"),
+    "mid_run": ("customer", [f"CASE WHEN {_K} % 23 = 0 THEN 'Z' ELSE 'B' END || CAST({_K} AS STRING) AS badge", f"CAST(floor(({_K} + 2) / 6) AS BIGINT) AS cluster"], "true"),
+    "mapping": ("customer", [f"CASE WHEN {_K} % 13 = 0 THEN 'M' ELSE 'B' END || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 7 = 0 THEN NULL WHEN {_K} % 5 = 0 THEN 'T' || CAST(c_nationkey AS STRING) ELSE CAST(100 + {_CELL} % 40 AS STRING) END AS transformer"], "true"),
+    "old_mapping": ("customer", [f"CASE WHEN {_K} % 13 = 0 THEN 'M' ELSE 'B' END || CAST({_K} AS STRING) AS badge", f"CASE WHEN {_K} % 8 = 0 THEN NULL WHEN {_K} % 5 = 0 THEN 'T' || CAST(c_nationkey % 9 AS STRING) ELSE CAST(100 + {_CELL} % 40 AS STRING) END AS transformer"], "true"),
+    "ignored": ("customer", [f"CASE WHEN {_K} % 3 <> 0 THEN 'I' ELSE 'B' END || CAST({_K} AS STRING) AS badge", f"CAST(100 + {_CELL} % 40 AS STRING) || '.0' AS recommended"], "true"),
+    "lookup": ("nation", ["CAST(100 + n_nationkey AS STRING) AS transformer", "n_name AS structure", "'F' || CAST(n_regionkey AS STRING) AS feeder", "'S' || CAST(n_regionkey AS STRING) AS subtype", "'V' || CAST(n_nationkey AS STRING) AS vault", "38.81e0 + n_nationkey * 0.001e0 AS lat", "-77.01e0 AS lon", "n_nationkey * 2.5e0 AS kva"], "true"),
+    "sightings": ("orders", ["'B' || CAST(o_custkey AS STRING) AS badge", "CAST(o_orderdate AS DATE) AS day"], "true"),
     "readings": ("events", ["event_id", "CAST(user_id AS STRING) AS badge", "CASE event_id % 4 WHEN 0 THEN '1D' WHEN 1 THEN '10N' WHEN 2 THEN '5ED' ELSE '99' END AS device_type", "ts", "CASE WHEN event_id % 37 = 0 THEN NULL ELSE value END AS actual"], "true"),
     "vectors": ("embeddings", ["CAST(vec_id AS STRING) AS badge", "embedding AS signature", "38.8e0 + (vec_id % 40) * 0.0005e0 AS lat", "-77.0e0 - floor(vec_id / 40) * 0.0006e0 AS lon"], "true"),
     "units": ("supplier", ["CAST(s_suppkey AS STRING) AS badge", "38.8e0 + (s_suppkey % 20) * 0.0005e0 AS lat", "-77.0e0 - floor(s_suppkey / 20) * 0.0006e0 AS lon"], "true"),
-    "metadata_old": ("supplier", ["CAST(s_suppkey AS STRING) AS badge", "s_nationkey AS place", "CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_name END AS label"], "s_suppkey % 10 <> 1"),
-    "metadata_new": ("supplier", ["CAST(s_suppkey AS STRING) AS badge", "CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey + 1 ELSE s_nationkey END AS place", "CASE WHEN s_suppkey % 15 = 0 THEN NULL ELSE s_name END AS label"], "s_suppkey % 10 <> 2"),
+    "metadata_old": ("supplier", ["CASE WHEN s_suppkey % 10 = 1 THEN 'O' ELSE '' END || CAST(s_suppkey AS STRING) AS badge", "s_nationkey AS place", "CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_name END AS label"], "true"),
+    "metadata_new": ("supplier", ["CASE WHEN s_suppkey % 10 = 2 THEN 'N' ELSE '' END || CAST(s_suppkey AS STRING) AS badge", "CASE WHEN s_suppkey % 4 = 0 THEN s_nationkey + 1 ELSE s_nationkey END AS place", "CASE WHEN s_suppkey % 15 = 0 THEN NULL ELSE s_name END AS label"], "true"),
     "pair_days": ("lineitem", ["CAST(l_suppkey AS STRING) AS badge_a", "CAST(l_suppkey + 1 AS STRING) || 'x' AS badge_b", "CAST(l_shipdate AS DATE) AS day", "l_discount AS r"], "true"),
 }
 _DIST = "2 * 6371000e0 * asin(least(1e0, sqrt(pow(sin(radians({b}lat - {a}lat) / 2), 2) + cos(radians({a}lat)) * cos(radians({b}lat)) * pow(sin(radians({b}lon - {a}lon) / 2), 2))))"
@@ -52,6 +52,7 @@ PARTS: dict[str, str] = {
     "top": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY r DESC, dst) AS rank FROM (SELECT badge_a AS src, badge_b AS dst, r FROM scored UNION ALL SELECT badge_b, badge_a, r FROM scored) WHERE r >= 0.15) WHERE rank <= 3",
     "mutual": "SELECT a.src, a.dst, a.r FROM top a JOIN top b ON a.src = b.dst AND a.dst = b.src WHERE a.src < a.dst",
     "ends": "SELECT src AS p, dst AS q FROM mutual UNION SELECT dst, src FROM mutual UNION SELECT badge, badge FROM vectors",
+    "active": "SELECT DISTINCT badge FROM sightings WHERE day IN (SELECT DISTINCT day FROM sightings ORDER BY day DESC LIMIT 200)",
     "votes": "SELECT cluster, transformer, count(*) AS votes FROM new_run JOIN mapping USING (badge) WHERE transformer IS NOT NULL GROUP BY ALL",
     "majority": "SELECT cluster, transformer, votes FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY votes DESC, coalesce(try_cast(transformer AS DOUBLE), 'inf'::DOUBLE), transformer) AS i FROM votes) WHERE i = 1",
     "corrections": 'SELECT badge, n.cluster, m.transformer AS "current", j.transformer AS recommended FROM new_run n JOIN mapping m USING (badge) JOIN majority j ON j.cluster = n.cluster WHERE m.transformer IS DISTINCT FROM j.transformer',
@@ -64,7 +65,7 @@ PARTS: dict[str, str] = {
     "presence": "SELECT badge, count(*) AS n_runs_seen, min(run) AS first_run, max(run) AS last_run FROM three GROUP BY badge",
     "pairs": "SELECT a.badge AS badge_a, b.badge AS badge_b, count(*) AS times_together, min(a.run) AS first_together, max(a.run) AS last_together FROM three a JOIN three b ON a.run = b.run AND a.cluster = b.cluster AND a.badge < b.badge GROUP BY ALL",
     "recommendations": "SELECT badge, recommended, count(*) AS times_recommended, min(run) AS first_run, max(run) AS last_run FROM (SELECT 'r1' AS run, badge, recommended FROM old_corrections UNION SELECT 'r3', badge, recommended FROM corrections) GROUP BY ALL",
-    "peers": "SELECT badge, round(avg(part), 3) AS peer_stability, count(*) AS peers_considered FROM (SELECT a.badge, coalesce(times_together, 0) / least(coalesce(p.n_runs_seen, 3), coalesce(q.n_runs_seen, 3)) AS part FROM new_run a JOIN new_run b ON a.cluster = b.cluster AND a.badge <> b.badge LEFT JOIN pairs ON badge_a = least(a.badge, b.badge) AND badge_b = greatest(a.badge, b.badge) LEFT JOIN presence p ON p.badge = a.badge LEFT JOIN presence q ON q.badge = b.badge) GROUP BY badge",
+    "peers": "SELECT n.badge, peer_stability, coalesce(peers_considered, 0) AS peers_considered FROM new_run n LEFT JOIN (SELECT badge, round(avg(part), 3) AS peer_stability, count(*) AS peers_considered FROM (SELECT a.badge, coalesce(times_together, 0) / least(coalesce(p.n_runs_seen, 3), coalesce(q.n_runs_seen, 3)) AS part FROM new_run a JOIN new_run b ON a.cluster = b.cluster AND a.badge <> b.badge LEFT JOIN pairs ON badge_a = least(a.badge, b.badge) AND badge_b = greatest(a.badge, b.badge) LEFT JOIN presence p ON p.badge = a.badge LEFT JOIN presence q ON q.badge = b.badge) GROUP BY badge) k ON k.badge = n.badge",
     "stable": 'SELECT r.*, peer_stability, peers_considered, coalesce(times_recommended, 0) AS times_recommended, coalesce(n_runs_seen, 3) AS badge_n_runs, round(coalesce(times_recommended, 0) / coalesce(n_runs_seen, 3), 3) AS recommendation_stability FROM ranked r LEFT JOIN peers p ON p.badge = r.badge LEFT JOIN recommendations h ON h.badge = r.badge AND h.recommended = r.recommended LEFT JOIN presence s ON s.badge = r.badge',
     "common": "SELECT badge, o.cluster AS o, n.cluster AS n FROM old_run o JOIN new_run n USING (badge)",
     "old_sizes": "SELECT cluster, count(*) AS size FROM old_run GROUP BY cluster",
@@ -138,6 +139,9 @@ class Data:
     def ranked(self) -> DataFrame:
         return audit.rank_corrections(self.corrections(), self.new_run, self.mapping)
 
+    def active(self) -> DataFrame:
+        return signature.active_badges(self.sightings, 200)
+
     def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
@@ -171,9 +175,6 @@ class Data:
     def daily(self) -> DataFrame:
         return ledger.accepted(self.pair_days)
 
-    def register(self) -> DataFrame:
-        return self.lookup.withColumn("structure", F.lit("s"))
-
 
 QUERIES: dict[str, object] = {}
 ORACLES: dict[str, str] = {}
@@ -224,7 +225,7 @@ query("latest_days", "SELECT badge, count(*) AS n FROM readings WHERE CAST(ts AS
 query("last_days", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM readings WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM readings) - 10 GROUP BY ALL")(
     lambda d: signature.last_days(d.readings.withColumn("day", F.to_date("ts")), 10).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 )
-query("active_badges", "SELECT DISTINCT badge FROM active")(lambda d: d.active.distinct())
+query("active_badges", "SELECT badge FROM active")(lambda d: d.active())
 query("spatial_neighbors", f"SELECT a.badge AS badge_a, b.badge AS badge_b, round({_d('a.', 'b.')}, 6) AS dist_m FROM model a JOIN model b ON a.badge < b.badge AND {_d('a.', 'b.')} <= 175")(
     lambda d: spatial.neighbors(d.model, radius_m=175.0).withColumn("dist_m", F.round("dist_m", 6))
 )
@@ -264,20 +265,23 @@ query("peer_stability", "SELECT * FROM peers")(lambda d: d.peers())
 query("corrections_with_stability", "SELECT * FROM stable")(lambda d: d.stable())
 query("high_confidence", "SELECT * FROM stable WHERE confidence_gap >= 0.5 AND mapped_peers >= 4 AND peer_stability >= 0.5 AND recommendation_stability >= 0.3")(lambda d: history.high_confidence(d.stable(), Config(min_peer_stability=0.5, min_recommendation_stability=0.3)))
 query("badge_stability_summary", "SELECT badge, peer_stability, peers_considered, coalesce(n_runs_seen, 0) AS n_runs_seen FROM peers LEFT JOIN presence USING (badge)")(lambda d: history.badge_summary(d.peers(), d.presence()))
-_ENRICH = ["badge", "cluster", "current", "recommended", "address", "city", "model_gis_distance_m", "location_differs", "current_feeder", "recommended_feeder", "current_distance_m", "recommended_distance_m", "recommendation_type"]
+_UNIT = ["structure", "feeder", "subtype", "vault", "lat", "lon", "kva"]
+_SIDES = ", ".join(f"{t}.{c} AS {side}_{c}" for t, side in (("x", "current"), ("y", "recommended")) for c in _UNIT)
+_PLACES_OF = ["badge_feeder", "model_lat", "model_lon", "gis_lat", "gis_lon"]
+_ENRICH = ["badge", "cluster", "current", "recommended", "address", "city", *_PLACES_OF, "model_gis_distance_m", "location_differs", *(f"{side}_{c}" for side in ("current", "recommended") for c in _UNIT), "current_distance_m", "recommended_distance_m", "recommendation_type"]
 query(
     "enriched_corrections",
-    f"""SELECT c.badge, c.cluster, c."current", c.recommended, g.address, g.city, round({_d('m.', 'g.')}, 1) AS model_gis_distance_m, coalesce(round({_d('m.', 'g.')}, 1) > 100, false) AS location_differs, x.feeder AS current_feeder, y.feeder AS recommended_feeder, round({_d('m.', 'x.')}, 1) AS current_distance_m, round({_d('m.', 'y.')}, 1) AS recommended_distance_m,
+    f"""SELECT c.badge, c.cluster, c."current", c.recommended, g.address, g.city, round({_d('m.', 'g.')}, 1) AS model_gis_distance_m, coalesce(round({_d('m.', 'g.')}, 1) > 100, false) AS location_differs, {_SIDES}, g.feeder AS badge_feeder, m.lat AS model_lat, m.lon AS model_lon, g.lat AS gis_lat, g.lon AS gis_lon, round({_d('g.', 'x.')}, 1) AS current_distance_m, round({_d('g.', 'y.')}, 1) AS recommended_distance_m,
  CASE WHEN c."current" IS NULL THEN 'new_assignment' WHEN x.feeder IS NULL OR y.feeder IS NULL THEN 'unknown_feeder' WHEN x.feeder = y.feeder THEN 'same_feeder_ambiguous' ELSE 'cross_feeder_likely_gis_error' END AS recommendation_type
  FROM corrections c LEFT JOIN gis g ON g.badge = c.badge LEFT JOIN model m ON m.badge = c.badge LEFT JOIN lookup x ON x.transformer = c."current" LEFT JOIN lookup y ON y.transformer = c.recommended""",
-)(lambda d: enrich.enrich_corrections(d.corrections(), d.gis, d.register(), d.model).select(*_ENRICH))
+)(lambda d: enrich.enrich_corrections(d.corrections(), d.gis, d.lookup, d.model).select(*_ENRICH))
 query("recommendation_types", "SELECT CASE WHEN c.\"current\" IS NULL THEN 'new_assignment' WHEN x.feeder IS NULL OR y.feeder IS NULL THEN 'unknown_feeder' WHEN x.feeder = y.feeder THEN 'same_feeder_ambiguous' ELSE 'cross_feeder_likely_gis_error' END AS recommendation_type, count(*) AS n FROM corrections c LEFT JOIN lookup x ON x.transformer = c.\"current\" LEFT JOIN lookup y ON y.transformer = c.recommended GROUP BY ALL")(
-    lambda d: enrich.enrich_corrections(d.corrections(), d.gis, d.register(), d.model).groupBy("recommendation_type").agg(F.count(F.lit(1)).alias("n"))
+    lambda d: enrich.enrich_corrections(d.corrections(), d.gis, d.lookup, d.model).groupBy("recommendation_type").agg(F.count(F.lit(1)).alias("n"))
 )
 query(
     "missing_from_register",
-    "SELECT n.badge, n.cluster, cluster_size, mapped_peers, j.transformer AS majority_transformer, coalesce(votes, 0) AS majority_votes, round(coalesce(votes, 0) / nullif(mapped_peers, 0), 3) AS majority_share, l.feeder AS majority_feeder FROM new_run n JOIN sizes s ON s.cluster = n.cluster LEFT JOIN majority j ON j.cluster = n.cluster LEFT JOIN lookup l ON l.transformer = j.transformer WHERE n.badge NOT IN (SELECT badge FROM gis) AND n.badge IN (SELECT badge FROM active)",
-)(lambda d: enrich.missing_from_register(d.new_run, d.gis, d.active, d.mapping, d.register()))
+    "SELECT n.badge, n.cluster, cluster_size, mapped_peers, j.transformer AS majority_transformer, coalesce(votes, 0) AS majority_votes, round(coalesce(votes, 0) / nullif(mapped_peers, 0), 3) AS majority_share, l.structure AS recommended_structure, l.feeder AS recommended_feeder, l.vault AS recommended_vault, l.lat AS recommended_lat, l.lon AS recommended_lon, l.kva AS recommended_kva FROM new_run n JOIN sizes s ON s.cluster = n.cluster LEFT JOIN majority j ON j.cluster = n.cluster LEFT JOIN lookup l ON l.transformer = j.transformer WHERE n.badge NOT IN (SELECT badge FROM gis) AND n.badge IN (SELECT badge FROM active)",
+)(lambda d: enrich.missing_from_register(d.new_run, d.gis, d.active(), d.mapping, d.lookup))
 query("location_discrepancies", f"SELECT m.badge, m.lat AS model_lat, m.lon AS model_lon, g.address, g.city, g.lat AS gis_lat, g.lon AS gis_lon, round({_d('m.', 'g.')}, 1) AS distance_m FROM model m JOIN gis g ON g.badge = m.badge WHERE round({_d('m.', 'g.')}, 1) > 100")(lambda d: enrich.location_discrepancies(d.model, d.gis))
 query("clusters_enriched", "SELECT n.badge, n.cluster, g.gis_transformer, g.bank_tag, g.address, g.city, g.lon AS gis_lon, g.lat AS gis_lat, g.feeder, m.lat AS model_lat, m.lon AS model_lon, s.size AS cluster_size FROM new_run n LEFT JOIN gis g ON g.badge = n.badge LEFT JOIN model m ON m.badge = n.badge JOIN new_sizes s ON s.cluster = n.cluster")(lambda d: enrich.clusters_enriched(d.new_run, d.gis, d.model))
 query("badge_changes", "SELECT * FROM changes")(lambda d: compare.badge_changes(d.old_run, d.new_run))
@@ -324,18 +328,15 @@ _BADGE = "regexp_replace(trim(BADGENUMBER), '\\.0+$', '')"
 _BANK = "CASE WHEN trim(TRANSFORMERBANKOBJECTID) IN ('', 'nan', 'None') THEN NULL ELSE regexp_replace(trim(TRANSFORMERBANKOBJECTID), '\\.0+$', '') END"
 PARTS = {k: f"SELECT {', '.join(STAND_INS[k][1])} FROM {STAND_INS[k][0]} WHERE {STAND_INS[k][2]}" for k in ("register_points", "register_units")} | PARTS
 PARTS["points"] = f"SELECT {_BADGE} AS badge, {_BANK} AS gis_transformer, nullif(trim(TRANSBANKTAG), '') AS bank_tag, CCBADDRESS1 AS address, CCBCITY AS city, try_cast(POINT_X AS DOUBLE) AS lon, try_cast(POINT_Y AS DOUBLE) AS lat, d_FEEDERID AS feeder FROM register_points"
-PARTS["unit_rows"] = "SELECT trim(TAG) AS tag, STRUCTNO AS structure, d_FEEDERID AS feeder, d_SUBTYPECD AS subtype, try_cast(POINT_X AS DOUBLE) AS lon, try_cast(POINT_Y AS DOUBLE) AS lat, try_cast(TOTALKVA AS DOUBLE) AS kva FROM register_units WHERE trim(TAG) <> ''"
+PARTS["unit_rows"] = "SELECT trim(TAG) AS tag, STRUCTNO AS structure, FEEDERID AS feeder_raw, d_FEEDERID AS feeder, d_SUBTYPECD AS subtype, VAULTCD AS vault, try_cast(POINT_X AS DOUBLE) AS lon, try_cast(POINT_Y AS DOUBLE) AS lat, try_cast(TOTALKVA AS DOUBLE) AS kva FROM register_units WHERE trim(TAG) <> ''"
 query("register_service_points", "SELECT * FROM points")(lambda d: enrich.service_points(d.register_points))
 query("register_transformers", "SELECT * FROM unit_rows")(lambda d: enrich.transformers(d.register_units))
-query("transformer_lookup", "SELECT b.transformer, structure, feeder, subtype, lon, lat, kva FROM (SELECT gis_transformer AS transformer, min(bank_tag) AS tag FROM points WHERE gis_transformer IS NOT NULL AND bank_tag IS NOT NULL GROUP BY ALL) b LEFT JOIN unit_rows u ON u.tag = b.tag")(
+query("transformer_lookup", "SELECT b.transformer, structure, feeder_raw, feeder, subtype, vault, lon, lat, kva FROM (SELECT gis_transformer AS transformer, min(bank_tag) AS tag FROM points WHERE gis_transformer IS NOT NULL AND bank_tag IS NOT NULL GROUP BY ALL) b LEFT JOIN unit_rows u ON u.tag = b.tag")(
     lambda d: enrich.transformer_lookup(enrich.service_points(d.register_points), enrich.transformers(d.register_units))
 )
 query("known_mapping", f"SELECT {_BADGE} AS badge, CASE WHEN trim(TRANSFORMERBANKOBJECTID) IN ('nan', 'None', '<NA>') THEN NULL ELSE regexp_replace(trim(TRANSFORMERBANKOBJECTID), '\\.0+$', '') END AS transformer FROM register_points WHERE {_BADGE} IN (SELECT CAST(o_custkey AS STRING) FROM orders)")(
     lambda d: audit.known_mapping(d.register_points, d.table("orders").select(F.col("o_custkey").cast("string").alias("badge")))
 )
-query("day_counts", "SELECT badge, CAST(ts AS DATE) AS day, count(DISTINCT actual) AS n FROM readings GROUP BY ALL HAVING count(actual) >= 3")(
-    lambda d: d.readings.groupBy("badge", F.to_date("ts").alias("day")).agg(F.countDistinct("actual").alias("n"), F.count("actual").alias("k")).where("k >= 3").drop("k")
-)
 query("common_badges", "SELECT badge FROM old_run INTERSECT SELECT badge FROM new_run")(lambda d: d.old_run.select("badge").intersect(d.new_run.select("badge")))
 query("peer_sets", "SELECT cluster, list_sort(list(badge)) AS members FROM new_run GROUP BY cluster")(lambda d: d.new_run.groupBy("cluster").agg(F.array_sort(F.collect_set("badge")).alias("members")))
 query("all_runs", "SELECT run, count(*) AS n_badges, count(DISTINCT cluster) AS n_clusters FROM three GROUP BY run")(

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset (tests, local mode) a temporary one.
-
-    The driver and all executors must reach the folder: on a cluster the setting names one.
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode and an error elsewhere:
+    the driver and all executors must reach it.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="feedertrace-")
         spark.conf.set("spark.checkpoint.dir", where)
     jsc = spark.sparkContext._jsc

@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from feedertrace.plans import catalog
+from feedertrace.plans import catalog, flows  # noqa: F401  (flows adds its queries to the catalog's)
 
 DATA = "/root/testdata"
 TABLES = "region nation customer supplier part orders lineitem events embeddings".split()
