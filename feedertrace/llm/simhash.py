@@ -18,7 +18,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedertrace.llm.text import ascii_words
@@ -116,11 +116,136 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, distance: int = 2, seg
     return prints.join(names, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near-duplicates: of each component the row with its smallest doc_id stays.
+#: The long fingerprint: words of 64 bits, and segments of ``WIDTH`` bits that are looked up with a ball of radius 1.
+LANES, SEGMENTS, WIDTH = 9, 24, 24
+_ODD = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
-    Rows with equal doc_id are told apart by text, so one of them stays; rows with a null doc_id stay.
+
+def shingles(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of ``text``'s shingles, sorted; the whole sequence is one if it is shorter; none without words."""
+    import xxhash
+
+    words = ascii_words(text)
+    grams = [b" ".join(words)] if 0 < len(words) < shingle else map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), dtype=np.uint64))
+
+
+def long_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """``LANES`` words: each bit is 1 if over half of the hashes, mixed anew for each word, have it."""
+    ones = np.zeros(64 * LANES, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        with np.errstate(over="ignore"):
+            h = hashes[at : at + (1 << 14), None] * _ODD[None, :]
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(32)
+        ones += np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")
+
+
+def _classes(shingle: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        for batch in batches:
+            sets = [shingles(x, shingle) for x in batch["text"]]
+            ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 3) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pd.DataFrame({"key": batch["key"], "order": batch["order"], "th": batch["th"], "c": ids, "fp": [long_fingerprint(s) for s in sets]})
+
+    return run
+
+
+def candidates(classes: DataFrame, *, crowded: int = 64) -> DataFrame:
+    """(a, b) of ``classes`` (c, fp) that share a segment of the long fingerprint up to one bit, a < b.
+
+    Of two values that differ in one bit one has an even number of ones, so only odd values look up their ball, among
+    even ones. Where over ``crowded`` classes meet at a value, each is paired with a leader instead of with each other:
+    one of them that changes from value to value. A crowd of copies meets at many values, so it is tied together by many
+    leaders, with pairs in proportion to its size; a link between two of it that no leader is near to may be missed.
+    """
+    bits = [F.lit(1 << i).cast("long") for i in range(WIDTH)]
+    lane = lambda i: F.element_at("fp", i + 1)
+
+    def value(i: int) -> Column:
+        word, at = divmod(i * WIDTH, 64)
+        low = F.shiftrightunsigned(lane(word), at) if at else lane(word)
+        both = low.bitwiseOR(F.shiftleft(lane(word + 1), 64 - at)) if at + WIDTH > 64 else low
+        return both.bitwiseAND(F.lit((1 << WIDTH) - 1).cast("long"))
+
+    values = F.array(*(value(i) for i in range(SEGMENTS)))
+    own = classes.select("c", F.posexplode(values).alias("i", "v"))
+    key = lambda v: F.col("i").cast("long") * (1 << WIDTH) + v
+    odd = F.bit_count("v") % 2 == 1
+    ball = F.when(odd, F.transform(F.array(*bits), lambda m: F.struct(key(F.col("v").bitwiseXOR(m)).alias("key"), F.lit(True).alias("asks")))).otherwise(F.array().cast("array<struct<key:bigint,asks:boolean>>"))
+    rows = own.select("c", F.inline(F.concat(F.array(F.struct(key(F.col("v")).alias("key"), F.lit(False).alias("asks"))), ball)))
+    # Most values are met by one class alone: those go before anything is gathered.
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("c", "key").alias("h"), "c")).alias("leader"), F.min(F.col("asks")).alias("all_ask")).where("n > 1 AND NOT all_ask").select("key", "n", F.col("leader.c").alias("leader"))
+    met = materialize(rows.join(sizes, "key"), "met")
+    few = met.where(F.col("n") <= crowded).groupBy("key").agg(F.collect_list(F.when(~F.col("asks"), F.col("c"))).alias("own"), F.collect_list("c").alias("every"))
+    pairs = few.select(F.explode("own").alias("x"), "every").select("x", F.explode("every").alias("y"))
+    many = met.where(F.col("n") > crowded).select(F.col("c").alias("x"), F.col("leader").alias("y"))
+    pairs = pairs.union(many).where("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _alike(shingle: int, similarity: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            close = []
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                p, q = shingles(x, shingle), shingles(y, shingle)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                close.append(both >= similarity * (len(p) + len(q) - both))
+            yield batch.loc[close, ["a", "b"]]
+
+    return run
+
+
+def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, distance: int = 115, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(rows, links): per row of ``docs`` its key, order, th (hash of the text) and c, the class of its set of shingles;
+    and (src, dst) of classes whose Jaccard index is ``similarity`` or more.
+
+    Candidates meet in a segment of the long fingerprint, stay if they differ in ``distance`` or fewer of its 576 bits
+    (at an index of 0.8, 85 are expected and 115 are 3.5 standard deviations more), and are verified on their whole texts.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").cast("long").alias("id"))
+    key, th = F.xxhash64(F.col("doc_id").isNull(), "doc_id"), F.xxhash64("text")
+    own = docs.select(key.alias("key"), order.alias("order"), th.alias("th"), "text")
+    rows = materialize(own.mapInPandas(_classes(shingle), "key long, order struct<absent:boolean,id:long>, th long, c long, fp array<long>"), "classes")
+    classes = materialize(rows.groupBy("c").agg(F.first("fp").alias("fp"), F.min("th").alias("th")), "class-prints")
+    side = lambda n: classes.select(F.col("c").alias(n), F.col("fp").alias(f"fp_{n}"), F.col("th").alias(f"th_{n}"))
+    pairs = candidates(classes.select("c", "fp"), crowded=crowded).join(side("a"), "a").join(side("b"), "b")
+    apart = F.aggregate(F.zip_with("fp_a", "fp_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    pairs = materialize(pairs.where(apart <= distance).select("a", "b", "th_a", "th_b"), "close")
+    needed = pairs.select(F.explode(F.array("th_a", "th_b")).alias("th")).distinct()
+    texts = docs.select(th.alias("th"), "text").join(needed, "th", "left_semi").dropDuplicates(["th"])
+    texts = materialize(texts, "texts")
+    both = pairs.join(texts.select(F.col("th").alias("th_a"), F.col("text").alias("x")), "th_a").join(texts.select(F.col("th").alias("th_b"), F.col("text").alias("y")), "th_b")
+    links = both.select("a", "b", "x", "y").mapInPandas(_alike(shingle, similarity), "a long, b long").toDF("src", "dst")
+    return rows, materialize(links, "links")
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 64) -> DataFrame:
+    """``docs`` (doc_id, text and any others) without near-duplicates: of the rows that links of ``similarity`` or more
+    join, the one with the smallest doc_id stays (nulls last, then by the text's hash).
+
+    Rows are told apart by doc_id and text, so rows of one doc_id and different texts are judged each; of rows equal in
+    both one stays. Texts without words are alike; one of them stays. Very long texts are taken whole. An empty table
+    gives an empty one.
     """
-    found = near_duplicates(docs, **options).select(F.col("doc_id").alias("_id"), "component_id").where("_id = component_id").select("_id").distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("_id"), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
+    rows, links = similar_classes(docs, shingle=shingle, similarity=similarity, crowded=crowded)
+    joined = connected_components(links)
+    place = F.struct("order", "th", "key")
+    # Only rows of classes with several rows, or with a link, can go.
+    per = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"))
+    named = per.join(joined.select(F.col("node").alias("c"), "component"), "c", "left")
+    named = materialize(named.where("n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "c")), "groups")
+    first = named.groupBy("component").agg(F.min("least").alias("first"))
+    stays = named.select("c", "component").join(first, "component").select("c", "first")
+    twins = rows.groupBy("key", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "th")
+    gone = rows.select("c", "key", "th", "order").join(stays, "c").where(~place.eqNullSafe(F.col("first"))).select("key", "th").distinct()
+    key, th = F.xxhash64(F.col("doc_id").isNull(), "doc_id"), F.xxhash64("text")
+    marked = docs.withColumns({"_key": key, "_th": th})
+    kept = marked.join(gone.union(twins).distinct().toDF("_key", "_th"), ["_key", "_th"], "left_anti")
+    # Rows that come several times over: once, if they stay.
+    again = marked.join(twins.join(gone, ["key", "th"], "left_anti").toDF("_key", "_th"), ["_key", "_th"], "left_semi").dropDuplicates(["_key", "_th"])
+    return kept.select(*docs.columns).union(again.select(*docs.columns))

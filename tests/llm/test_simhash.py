@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -78,6 +79,63 @@ def test_near_duplicates(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id - 5 for r in kept.collect()) == sorted(set(components(prints, 2)))
 
 
+def edited(rng, text, share):
+    words = text.split()
+    for i in rng.sample(range(len(words)), max(1, int(len(words) * share))):
+        words[i] = "edit" + str(rng.randrange(10**6))
+    return " ".join(words)
+
+
+def jaccard(a, b):
+    p, q = (set(simhash.shingles(x, 5).tolist()) for x in (a, b))
+    return len(p & q) / max(1, len(p | q))
+
+
+@pytest.mark.parametrize("crowded", [64, 2])
+def test_near_copies_by_jaccard(spark, crowded):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))) for _ in range(60)]
+    for t in texts[:40]:
+        texts += [edited(rng, t, share) for share in (0.01, 0.02, 0.03, 0.08)]
+    texts += [texts[0]] * 30 + [None, "", "a b c", "A b  c", "a b c d"]
+    docs = spark.createDataFrame([(i if i % 50 else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, c string")
+    rows, links = simhash.similar_classes(docs, crowded=crowded)
+    classes = {r.c: r.key for r in rows.collect()}
+    got = {frozenset((r.src, r.dst)) for r in links.collect()}
+    text_of = {}
+    for t in texts:
+        import xxhash
+
+        text_of[np.array([xxhash.xxh64_intdigest(simhash.shingles(t, 5).tobytes(), 3)], dtype=np.uint64).view(np.int64)[0]] = t
+    assert set(text_of) == set(classes)
+    ids = sorted(text_of)
+    want = {frozenset((a, b)) for i, a in enumerate(ids) for b in ids[:i] if text_of[a] and text_of[b] and jaccard(text_of[a], text_of[b]) >= 0.8}
+    assert len(want) > 60 and got <= want and (len(got) >= 0.97 * len(want) or crowded < 64)
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in map(tuple, want):
+        parent[find(a)] = find(b)
+    groups = len({find(i) for i in ids})
+    kept = simhash.one_of_each(docs, crowded=crowded)
+    assert kept.columns == docs.columns
+    n = kept.count()
+    assert groups <= n <= groups + (2 if crowded == 64 else 12)
+
+
+def test_one_of_each_edges(spark):
+    schema = "doc_id long, text string, key long"
+    assert simhash.one_of_each(spark.createDataFrame([], schema)).count() == 0
+    long = " ".join(f"w{i}" for i in range(300_000))
+    rows = [(1, "a b", 1), (1, "a b", 1), (1, "c d", 2), (None, "a b", 3), (None, "e f", 4), (None, "e f", 4), (7, None, 5), (6, " ", 6), (8, long, 7), (9, long + " x", 8)]
+    kept = sorted(map(str, (tuple(r) for r in simhash.one_of_each(spark.createDataFrame(rows, schema)).select("doc_id", "key").collect())))
+    assert kept == sorted(map(str, [(1, 1), (1, 2), (None, 4), (6, 6), (8, 7)]))
+
+
 def test_edges(spark):
     schema = "doc_id long, text string"
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
