@@ -23,8 +23,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return simhash.one_of_each(docs, shingle=5, distance=3)
+    """One document of each near-duplicate group stays: five words, similarity 0.8 or more."""
+    return simhash.one_of_each(docs, shingle=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
