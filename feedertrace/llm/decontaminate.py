@@ -12,6 +12,7 @@ templates is not; of slots that disagree the most frequent stays, and windows wi
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -123,6 +124,11 @@ class Benchmark:
                 # At least half of a template's window is words as such.
                 for reading, words in enumerate(literal):
                     found[int(n), reading] += [(item, at) for at in range(low, high - n + 1) if 2 * (words[at + n] - words[at]) >= n]
+        #: Items too short to tell, by their raw tokens: they count only where they are all of a text.
+        self.whole: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for item, (low, high) in enumerate(zip(t.starts, t.starts[1:], strict=False)):
+            if 0 < high - low < shortest:
+                self.whole[int(high - low)][int(t.windows(high - low, RAW)[low])].append(item)
         for (n, reading), places in found.items():
             item, at = np.array(places, dtype=np.int64).reshape(-1, 2).T
             keys = t.windows(n, reading)[at]
@@ -134,6 +140,11 @@ class Benchmark:
     def match(self, texts) -> Iterator[tuple[int, int, int, int, bool]]:
         """(text's number, item's number, covered tokens of the item, its tokens, reparameterised)."""
         t = Tokens(texts)
+        for n, items in self.whole.items():
+            own = t.windows(n, RAW)
+            for doc in np.flatnonzero(np.diff(t.starts) == n).tolist():
+                for item in items.get(int(own[t.starts[doc]]), ()):
+                    yield doc, item, n, n, False
         hits: dict[tuple[int, int], dict[tuple[int, int, int], int]] = defaultdict(dict)
         for (n, reading), (keys, item, at, small) in self.tables.items():
             own = t.windows(n, reading)
@@ -176,9 +187,22 @@ class Benchmark:
                 yield doc, item, len(covered), int(self.size[item]), not same
 
 
+_LAST: dict[str, Benchmark] = {}
+
+
+def _once(key: str, items: list[tuple[int, str]], window: int, shortest: int) -> Benchmark:
+    """The block's tables, built once in a worker and kept for its next tasks; only the last block's are held."""
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = Benchmark(items, window, shortest)
+    return _LAST[key]
+
+
 def _leaks(items: list[tuple[int, str]], window: int, shortest: int, least: float):
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bench = Benchmark(items, window, shortest)
+        bench = _once(key, items, window, shortest)
         for batch in slices(batches, SLICE):
             ids = batch["doc_id"].tolist()
             rows = [(ids[d], bench.ids[i], c, n, c / n, r) for d, i, c, n, r in bench.match(batch["text"]) if c >= least * n]
@@ -188,8 +212,10 @@ def _leaks(items: list[tuple[int, str]], window: int, shortest: int, least: floa
 
 
 def _kept(items: list[tuple[int, str]], window: int, shortest: int, least: float):
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bench = Benchmark(items, window, shortest)
+        bench = _once(key, items, window, shortest)
         for batch in slices(batches, SLICE):
             bad = {d for d, _, c, n, _ in bench.match(batch["text"]) if c >= least * n}
             yield batch[[i not in bad for i in range(len(batch))]]
@@ -212,8 +238,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, shorte
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read. An item is reported if
     windows found in the document, with slots that agree, cover ``least`` of its tokens; an item of fewer than
-    ``window`` tokens is one window, one of fewer than ``shortest`` is too short to tell and never reported. Null and
-    empty texts have no windows. Repeated rows are reported each; null ids are carried. Empty tables give an empty one.
+    ``window`` tokens is one window, one of fewer than ``shortest`` is too short to tell and counts only where it is the
+    whole text. Template windows of which over half are placeholders say too little and are left out; the same words as
+    they stand are found by the raw windows. Null and empty texts have no windows, very long ones are taken whole. Repeated rows are reported each; null ids are carried. Empty tables give an empty one.
     """
     found = [docs.select("doc_id", "text").mapInPandas(_leaks(items, window, shortest, least), LEAKS) for items in _blocks(benchmark, block_chars)]
     return reduce(DataFrame.union, found)

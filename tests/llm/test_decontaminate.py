@@ -77,3 +77,37 @@ def test_copies_without_literal_words_and_with_a_changed_slot():
     item = "the farmer sold 40 eggs to the baker and 12 eggs to the cook while 15 eggs were left in the basket that stood behind the kitchen door all day"
     other = item.replace("40", "60").replace("12", "15")
     assert leaks(item, other)[0][0]
+
+
+def test_short_items_count_as_whole_texts(spark):
+    bench = spark.createDataFrame([(1, "Is 7 prime?"), (2, "the")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "is 7  prime"), (2, "so is 7 prime? yes"), (3, "is 9 prime?"), (4, "The"), (5, None), (6, "")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in d.find_leaks(docs, bench).collect()) == [(1, 1), (4, 2)]
+    assert sorted(r.doc_id for r in d.remove_leaks(docs, bench).collect()) == [2, 3, 5, 6]
+
+
+def test_recall_of_items_asked_again(spark):
+    """Items with all names and numbers replaced, each by one other value: found. With slots that disagree: mostly not."""
+    import random
+
+    rng = random.Random(4)
+    names, others = ["Tom", "Sara", "Mia", "Joe", "Lena"], ["Ben", "Ann", "Kai", "Uma", "Rex"]
+    verbs = "buys sells finds loses paints counts carries trades wraps cleans".split()
+    things = "apples boxes stones lamps books coins shells ropes bricks cards".split()
+    items, again, broken = [], [], []
+    for i in range(60):
+        a, b = rng.sample(range(5), 2)
+        parts = []
+        for _ in range(5):
+            who, n = rng.choice((a, b)), rng.randrange(2, 90)
+            tail = " ".join(rng.choices(things, k=3))
+            parts.append((who, n, rng.choice(verbs), f"{tail} at the {rng.choice(things)} market"))
+        new = dict(zip(sorted({n for _, n, _, _ in parts}), rng.sample(range(100, 999), 5), strict=False))
+        say = lambda who, num: " ".join(f"Then {who[w]} {v} {num(n)} {x}." for w, n, v, x in parts)  # noqa: B023, E731
+        items.append((i, say(names, lambda n: n)))
+        again.append((i, "Some words first. " + say(others, new.get) + " And words after."))
+        broken.append((i + 100, "Some words first. " + " ".join(f"Then {rng.choice(others)} {v} {rng.randrange(100, 999)} {rng.choice(things)} of all {x.split()[0]}." for _, _, v, x in parts)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.reparameterised for r in d.find_leaks(spark.createDataFrame(again + broken, "doc_id long, text string"), bench).collect()}
+    assert sum((i, i) in found for i in range(60)) >= 57 and all(found[i, i] for i in range(60) if (i, i) in found)
+    assert sum(x >= 100 for x, _ in found) <= 2
