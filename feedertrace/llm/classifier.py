@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedertrace.llm.text import fold
+from feedertrace.session import materialize
 
 _TOKENS = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff\s]+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -90,19 +91,28 @@ def _vectors(bits: int):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bits: int = 18, folds: int = 5, held_out: int = 0, max_rows: int = 4000) -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bits: int = 18, folds: int = 5, held_out: int = 0, max_rows: int = 4000, max_values: int = 16_000_000) -> np.ndarray:
     """Weights learnt from the labelled documents outside fold ``held_out`` (crc32 of the id as text, modulo ``folds``).
 
-    ``max_rows`` bounds the sample that is fitted: the labelled ids of smallest hash. Labels that are null, or whose
-    document is missing, teach nothing; with no label at all every weight is 0 and every score one half.
+    ``max_rows`` bounds the sample that is fitted: the labelled ids of smallest hash. ``max_values`` bounds its bytes on
+    the driver (8 a value): ids whose vectors would go beyond it, in the order of the hash, are not fitted; a vector has a
+    value for each distinct feature of a whole text. An id that ``docs`` has several times is fitted with its shortest
+    vector. Labels that are null, or whose document is missing, teach nothing; with no label at all, or empty tables, every
+    weight is 0 and every score one half.
     """
     own = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).where(f"label is not null and _id is not null")
     own = own.where(fold(F.col("_id"), folds) != held_out).withColumn("key", F.xxhash64("_id", "label")).orderBy("key", "_id", "label").limit(max_rows)
     # At most ``max_rows`` rows of two numbers.
     found = docs.select("doc_id", "text").join(F.broadcast(own), F.col("doc_id") == F.col("_id")).select("key", "label", "text")
-    table = found.mapInPandas(_vectors(bits), "key long, label int, places array<int>, vals array<float>").toArrow().combine_chunks()
-    if not table.num_rows:
+    vectors = found.mapInPandas(_vectors(bits), "key long, label int, places array<int>, vals array<float>")
+    one = F.min(F.struct(F.size("places").alias("n"), "places", "vals")).alias("s")
+    vectors = materialize(vectors.groupBy("key", "label").agg(one).select("key", "label", "s.*"), "sample")
+    # At most ``max_rows`` numbers.
+    sizes = sorted(tuple(r) for r in vectors.select("key", "label", "n").collect())
+    fits = int(np.searchsorted(np.cumsum([n for _, _, n in sizes]), max_values, side="right"))
+    if not fits:
         return np.zeros(1 << bits, dtype=np.float32)
+    table = vectors.where(F.struct("key", "label") <= F.struct(*(F.lit(x).alias(n) for x, n in zip(sizes[fits - 1], ("key", "label"), strict=False)))).select("key", "label", "places", "vals").toArrow().combine_chunks()
     key, label = table["key"].to_numpy(), table["label"].to_numpy()
     lists = table["places"].chunk(0)
     ends, places, vals = lists.offsets.to_numpy(), lists.values.to_numpy(), table["vals"].chunk(0).values.to_numpy()
@@ -125,7 +135,7 @@ def _scored(weights: np.ndarray, bits: int, limit: float):
 def score(docs: DataFrame, weights: np.ndarray, *, limit: float = 0.3) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from ``limit`` on) per row of ``docs``; only doc_id and text are read.
 
-    A null or empty text is scored by the bias. Repeated rows and rows with a null doc_id each give a row, an empty
+    A null or empty text is scored by the bias, a very long one by all its features. Repeated rows and rows with a null doc_id each give a row, an empty
     table an empty one.
     """
     bits = int(len(weights)).bit_length() - 1
@@ -143,5 +153,5 @@ def _filtered(weights: np.ndarray, bits: int, limit: float):
 
 
 def keep_good(docs: DataFrame, weights: np.ndarray, *, limit: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose text scores ``limit`` or more."""
+    """The rows of ``docs``, with all columns, whose text scores ``limit`` or more; nulls and ties as in ``score``."""
     return docs.mapInPandas(_filtered(weights, int(len(weights)).bit_length() - 1, limit), docs.schema)

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -35,3 +36,38 @@ def test_features():
     at, x = h.features("The cat! The cat!")
     assert at.max() < 4096 and abs((x[:-1] ** 2).sum() - 1) < 1e-9
     assert len(h.features(None)[0]) == 1
+
+
+def test_training_is_that_of_the_formula():
+    """Weights against the per-coordinate update written out with dicts."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(40):
+        at = rng.choice(64, size=rng.integers(1, 12), replace=False)
+        rows.append((int(rng.integers(0, 2)), at.astype(np.int32), rng.random(len(at)).astype(np.float32)))
+    alpha, beta, l1, l2 = 0.5, 1.0, 1e-2, 1e-3
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - math.copysign(l1, zi)) / ((beta + math.sqrt(n.get(i, 0.0))) / alpha + l2)
+
+    for _ in range(3):
+        for label, at, x in rows:
+            w = {i: weight(i) for i in at.tolist()}
+            p = 1 / (1 + math.exp(-sum(w[i] * float(v) for i, v in zip(at.tolist(), x, strict=True))))
+            for i, v in zip(at.tolist(), x, strict=True):
+                g = (p - label) * float(v)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    got = classifier.train(rows, 6, epochs=3, alpha=alpha, beta=beta, l1=l1, l2=l2)
+    assert np.allclose(got, [weight(i) for i in range(64)], atol=1e-6) and (got != 0).any()
+
+
+def test_sample_is_bounded_in_rows_and_values(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * (i + 1)) for i in range(40)] + [(3, "longer text of the same id"), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    assert np.any(classifier.fit(docs, labels, bits=10)) and not np.any(classifier.fit(docs, labels, bits=10, max_values=1))
+    few = classifier.fit(docs, labels, bits=10, max_values=40)
+    assert np.any(few) and (few != 0).sum() <= 40
+    assert not np.any(classifier.fit(docs.limit(0), labels, bits=10)) and not np.any(classifier.fit(docs, labels.limit(0), bits=10))
