@@ -13,7 +13,9 @@ and the rest of the other, so both list their balls of these radii and meet ther
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -21,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedertrace.llm.text import ascii_words
+from feedertrace.llm.text import ascii_words, release, slices
 from feedertrace.operators.graph import connected_components
 from feedertrace.session import materialize
 
@@ -116,9 +118,32 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, distance: int = 2, seg
     return prints.join(names, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: The long fingerprint: words of 64 bits, and segments of ``WIDTH`` bits that are looked up with a ball of radius 1.
-LANES, SEGMENTS, WIDTH = 9, 24, 24
-_ODD = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: Characters whose shingles are held together.
+SLICE = 1_000_000
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Of a long fingerprint: ``segments`` of ``width`` bits, in ``lanes`` words; ``distance`` is what two may differ in."""
+
+    segments: int
+    width: int
+    lanes: int
+    distance: int
+
+
+def layout(n: int, similarity: float, miss: float = 0.05) -> Layout:
+    """For ``n`` documents: segments so wide that a ball meets few others by chance, however many documents there are, and
+    so many that two of ``similarity`` differ in one bit at most of some segment, but for a share of ``miss``.
+
+    Two sets of Jaccard index j differ in a bit with probability acos(2j / (1 + j)) / pi.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    width = min(40, max(16, math.ceil(math.log2(max(n, 2))) + 6))
+    near = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
+    segments = math.ceil(math.log(miss) / math.log(1 - near)) if p else 1
+    lanes = -(-segments * width // 64)
+    return Layout(segments, width, lanes, math.ceil(64 * lanes * p + 3.5 * math.sqrt(64 * lanes * p * (1 - p))))
 
 
 def shingles(text: str | None, shingle: int) -> np.ndarray:
@@ -130,59 +155,68 @@ def shingles(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), dtype=np.uint64))
 
 
-def long_fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """``LANES`` words: each bit is 1 if over half of the hashes, mixed anew for each word, have it."""
-    ones = np.zeros(64 * LANES, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 14):
+def long_fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """``lanes`` words: each bit is 1 if over half of the hashes, mixed anew for each word, have it."""
+    ones = np.zeros(64 * lanes, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 13):
         with np.errstate(over="ignore"):
-            h = hashes[at : at + (1 << 14), None] * _ODD[None, :]
+            odd = (np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+            h = hashes[at : at + (1 << 13), None] * odd[None, :]
             h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
         h ^= h >> np.uint64(32)
         ones += np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")
 
 
-def _classes(shingle: int):
+def _classes(shingle: int, lanes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             sets = [shingles(x, shingle) for x in batch["text"]]
             ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 3) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": batch["key"], "order": batch["order"], "th": batch["th"], "c": ids, "fp": [long_fingerprint(s) for s in sets]})
+            yield pd.DataFrame({"key": batch["key"], "order": batch["order"], "th": batch["th"], "c": ids, "fp": [long_fingerprint(s, lanes) for s in sets]})
+        release()
 
     return run
 
 
-def candidates(classes: DataFrame, *, crowded: int = 64) -> DataFrame:
+def candidates(classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFrame:
     """(a, b) of ``classes`` (c, fp) that share a segment of the long fingerprint up to one bit, a < b.
 
     Of two values that differ in one bit one has an even number of ones, so only odd values look up their ball, among
-    even ones. Where over ``crowded`` classes meet at a value, each is paired with a leader instead of with each other:
-    one of them that changes from value to value. A crowd of copies meets at many values, so it is tied together by many
-    leaders, with pairs in proportion to its size; a link between two of it that no leader is near to may be missed.
+    even ones. Where over ``crowded`` classes meet at a value, each is paired with its smallest and its largest class
+    instead of with each other. A crowd of copies meets at many values, and has the same leaders at most of them, so its
+    pairs are in proportion to its size; a link between two of it that no leader is near to may be missed.
     """
-    bits = [F.lit(1 << i).cast("long") for i in range(WIDTH)]
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = [F.lit(1 << i).cast("long") for i in range(shape.width)]
     lane = lambda i: F.element_at("fp", i + 1)
 
     def value(i: int) -> Column:
-        word, at = divmod(i * WIDTH, 64)
+        word, at = divmod(i * shape.width, 64)
         low = F.shiftrightunsigned(lane(word), at) if at else lane(word)
-        both = low.bitwiseOR(F.shiftleft(lane(word + 1), 64 - at)) if at + WIDTH > 64 else low
-        return both.bitwiseAND(F.lit((1 << WIDTH) - 1).cast("long"))
+        both = low.bitwiseOR(F.shiftleft(lane(word + 1), 64 - at)) if at + shape.width > 64 else low
+        return both.bitwiseAND(F.lit((1 << shape.width) - 1).cast("long"))
 
-    values = F.array(*(value(i) for i in range(SEGMENTS)))
+    values = F.array(*(value(i) for i in range(shape.segments)))
     own = classes.select("c", F.posexplode(values).alias("i", "v"))
-    key = lambda v: F.col("i").cast("long") * (1 << WIDTH) + v
-    odd = F.bit_count("v") % 2 == 1
-    ball = F.when(odd, F.transform(F.array(*bits), lambda m: F.struct(key(F.col("v").bitwiseXOR(m)).alias("key"), F.lit(True).alias("asks")))).otherwise(F.array().cast("array<struct<key:bigint,asks:boolean>>"))
-    rows = own.select("c", F.inline(F.concat(F.array(F.struct(key(F.col("v")).alias("key"), F.lit(False).alias("asks"))), ball)))
-    # Most values are met by one class alone: those go before anything is gathered.
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("c", "key").alias("h"), "c")).alias("leader"), F.min(F.col("asks")).alias("all_ask")).where("n > 1 AND NOT all_ask").select("key", "n", F.col("leader.c").alias("leader"))
+    key = lambda v: F.col("i").cast("long") * (1 << shape.width) + v
+    held = materialize(own.select("c", "i", "v", key(F.col("v")).alias("key")), "held")
+    sizes = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    ball = F.transform(F.array(*bits), lambda m: key(F.col("v").bitwiseXOR(m)))
+    asked = held.where(F.bit_count("v") % 2 == 1).repartition(parts, "c").select("c", F.explode(ball).alias("key"))
+    # Of the balls little is there: what is not goes in this join, before anything is gathered.
+    even = held.where(F.bit_count("v") % 2 == 0).select("key").distinct()
+    asked = materialize(asked.join(even, "key", "left_semi"), "asked")
+    sizes = sizes.union(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n"))).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    rows = held.select("c", "key", F.lit(False).alias("asks")).union(asked.select("c", "key", F.lit(True)))
     met = materialize(rows.join(sizes, "key"), "met")
     few = met.where(F.col("n") <= crowded).groupBy("key").agg(F.collect_list(F.when(~F.col("asks"), F.col("c"))).alias("own"), F.collect_list("c").alias("every"))
     pairs = few.select(F.explode("own").alias("x"), "every").select("x", F.explode("every").alias("y"))
-    many = met.where(F.col("n") > crowded).select(F.col("c").alias("x"), F.col("leader").alias("y"))
+    crowd = met.where(F.col("n") > crowded).select("key", F.col("c").alias("x"))
+    leaders = crowd.groupBy("key").agg(F.min("x").alias("least"), F.max("x").alias("most"))
+    many = crowd.join(leaders, "key").select("x", F.explode(F.array("least", "most")).alias("y")).distinct()
     pairs = pairs.union(many).where("x <> y")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -200,22 +234,23 @@ def _alike(shingle: int, similarity: float):
     return run
 
 
-def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, distance: int = 115, crowded: int = 64) -> tuple[DataFrame, DataFrame]:
+def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 4) -> tuple[DataFrame, DataFrame]:
     """(rows, links): per row of ``docs`` its key, order, th (hash of the text) and c, the class of its set of shingles;
     and (src, dst) of classes whose Jaccard index is ``similarity`` or more.
 
-    Candidates meet in a segment of the long fingerprint, stay if they differ in ``distance`` or fewer of its 576 bits
-    (at an index of 0.8, 85 are expected and 115 are 3.5 standard deviations more), and are verified on their whole texts.
+    Candidates meet in a segment of the long fingerprint (see ``layout``), stay if all of it differs in few enough bits
+    (what ``similarity`` lets expect and 3.5 standard deviations more), and are verified on their whole texts.
     """
+    shape = layout(docs.count(), similarity)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").cast("long").alias("id"))
     key, th = F.xxhash64(F.col("doc_id").isNull(), "doc_id"), F.xxhash64("text")
     own = docs.select(key.alias("key"), order.alias("order"), th.alias("th"), "text")
-    rows = materialize(own.mapInPandas(_classes(shingle), "key long, order struct<absent:boolean,id:long>, th long, c long, fp array<long>"), "classes")
+    rows = materialize(own.mapInPandas(_classes(shingle, shape.lanes), "key long, order struct<absent:boolean,id:long>, th long, c long, fp array<long>"), "classes")
     classes = materialize(rows.groupBy("c").agg(F.first("fp").alias("fp"), F.min("th").alias("th")), "class-prints")
     side = lambda n: classes.select(F.col("c").alias(n), F.col("fp").alias(f"fp_{n}"), F.col("th").alias(f"th_{n}"))
-    pairs = candidates(classes.select("c", "fp"), crowded=crowded).join(side("a"), "a").join(side("b"), "b")
+    pairs = candidates(classes.select("c", "fp"), shape, crowded=crowded).join(side("a"), "a").join(side("b"), "b")
     apart = F.aggregate(F.zip_with("fp_a", "fp_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    pairs = materialize(pairs.where(apart <= distance).select("a", "b", "th_a", "th_b"), "close")
+    pairs = materialize(pairs.where(apart <= shape.distance).select("a", "b", "th_a", "th_b"), "close")
     needed = pairs.select(F.explode(F.array("th_a", "th_b")).alias("th")).distinct()
     texts = docs.select(th.alias("th"), "text").join(needed, "th", "left_semi").dropDuplicates(["th"])
     texts = materialize(texts, "texts")
@@ -224,7 +259,7 @@ def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     return rows, materialize(links, "links")
 
 
-def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 64) -> DataFrame:
+def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 4) -> DataFrame:
     """``docs`` (doc_id, text and any others) without near-duplicates: of the rows that links of ``similarity`` or more
     join, the one with the smallest doc_id stays (nulls last, then by the text's hash).
 

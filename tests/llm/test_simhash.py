@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -91,7 +92,7 @@ def jaccard(a, b):
     return len(p & q) / max(1, len(p | q))
 
 
-@pytest.mark.parametrize("crowded", [64, 2])
+@pytest.mark.parametrize("crowded", [64, 4])
 def test_near_copies_by_jaccard(spark, crowded):
     rng = random.Random(12)
     texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 400))) for _ in range(60)]
@@ -127,6 +128,13 @@ def test_near_copies_by_jaccard(spark, crowded):
     assert groups <= n <= groups + (2 if crowded == 64 else 12)
 
 
+def test_layouts():
+    for n in (0, 1, 1000, 10**6, 10**9):
+        shape = simhash.layout(n, 0.8)
+        assert shape.segments * shape.width <= 64 * shape.lanes and shape.width >= min(40, math.log2(max(n, 2)) + 6)
+    assert simhash.layout(10, 1.0).segments == 1
+
+
 def test_one_of_each_edges(spark):
     schema = "doc_id long, text string, key long"
     assert simhash.one_of_each(spark.createDataFrame([], schema)).count() == 0
