@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedertrace.llm.text import fold
+from feedertrace.llm.text import fold, release
 from feedertrace.session import materialize
 
 _TOKENS = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff\s]+").findall
@@ -128,6 +128,7 @@ def _scored(weights: np.ndarray, bits: int, limit: float):
             margin = [weights[at] @ x for at, x in map(hasher.features, batch["text"])]
             score = 1 / (1 + np.exp(-np.clip(np.array(margin, dtype=float), -35, 35)))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": score, "predicted": (score >= limit).astype(np.int32)})
+        release()
 
     return run
 
@@ -148,6 +149,7 @@ def _filtered(weights: np.ndarray, bits: int, limit: float):
         for batch in batches:
             margin = np.array([weights[at] @ x for at, x in map(hasher.features, batch["text"])], dtype=float)
             yield batch[1 / (1 + np.exp(-np.clip(margin, -35, 35))) >= limit]
+        release()
 
     return run
 

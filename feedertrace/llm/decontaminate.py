@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedertrace.llm.text import slices
+from feedertrace.llm.text import release, slices
 
 LEAKS = "doc_id long, item_id long, covered long, item_tokens long, coverage double, reparameterised boolean"
 UNITS = frozenset(
@@ -37,7 +37,7 @@ _ENDS = (".", "!", "?", ":", ";")
 NUM, UNIT, NAME = (np.uint64(x) for x in (0xA5A5000000000001, 0xA5A5000000000003, 0xA5A5000000000005))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Characters whose words are looked at together.
-SLICE = 4_000_000
+SLICE = 2_000_000
 #: Of a word: no token; a number; a unit; a word that may be a name; any other.
 NONE, IS_NUM, IS_UNIT, CAPITAL, PLAIN = range(5)
 #: Readings.
@@ -219,6 +219,7 @@ def _kept(items: list[tuple[int, str]], window: int, shortest: int, least: float
         for batch in slices(batches, SLICE):
             bad = {d for d, _, c, n, _ in bench.match(batch["text"]) if c >= least * n}
             yield batch[[i not in bad for i in range(len(batch))]]
+        release()
 
     return run
 
