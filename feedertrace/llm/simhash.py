@@ -181,13 +181,12 @@ def _classes(shingle: int, lanes: int):
     return run
 
 
-def candidates(classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFrame:
-    """(a, b) of ``classes`` (c, fp) that share a segment of the long fingerprint up to one bit, a < b.
+def meetings(classes: DataFrame, shape: Layout) -> DataFrame:
+    """(key, n, c, asks): which of ``classes`` (c, fp) meet at a segment's value, ``n`` of them there: those that have it, and
+    those that look it up as one of their ball.
 
     Of two values that differ in one bit one has an even number of ones, so only odd values look up their ball, among
-    even ones. Where over ``crowded`` classes meet at a value, each is paired with its smallest and its largest class
-    instead of with each other. A crowd of copies meets at many values, and has the same leaders at most of them, so its
-    pairs are in proportion to its size; a link between two of it that no leader is near to may be missed.
+    even ones.
     """
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = [F.lit(1 << i).cast("long") for i in range(shape.width)]
@@ -211,16 +210,50 @@ def candidates(classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFr
     asked = materialize(asked.join(even, "key", "left_semi"), "asked")
     sizes = sizes.union(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n"))).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
     rows = held.select("c", "key", F.lit(False).alias("asks")).union(asked.select("c", "key", F.lit(True)))
-    met = materialize(rows.join(sizes, "key"), "met")
+    return materialize(rows.join(sizes, "key"), "met")
+
+
+def candidates(met: DataFrame, *, crowded: int = 4) -> DataFrame:
+    """(a, b) of classes that meet, a < b. Where over ``crowded`` of them do, each is paired with the smallest and the
+    largest class there instead of with each other, see ``strangers``. A crowd of copies meets at many values, and has the
+    same leaders at most of them, so its pairs are in proportion to its size.
+    """
     few = met.where(F.col("n") <= crowded).groupBy("key").agg(F.collect_list(F.when(~F.col("asks"), F.col("c"))).alias("own"), F.collect_list("c").alias("every"))
     pairs = few.select(F.explode("own").alias("x"), "every").select("x", F.explode("every").alias("y"))
     crowd = met.where(F.col("n") > crowded).select("key", F.col("c").alias("x"))
     leaders = crowd.groupBy("key").agg(F.min("x").alias("least"), F.max("x").alias("most"))
     many = crowd.join(leaders, "key").select("x", F.explode(F.array("least", "most")).alias("y")).distinct()
-    pairs = pairs.union(many).where("x <> y")
+    return _ordered(pairs.union(many).where("x <> y"))
+
+
+def strangers(met: DataFrame, joined: DataFrame, classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFrame:
+    """(a, b): the pairs of a crowded value that ``candidates`` left out, but for those that ``joined`` (node, component)
+    has in one component already; their fingerprints are close.
+
+    Of each value the largest component's classes are not paired among each other: the others are held against all there.
+    So a crowd that its leaders have joined costs nothing here, and a chance guest of it one row's comparisons. The
+    comparison of fingerprints is in the join itself; what is not close is not made a row.
+    """
+    crowd = met.where(F.col("n") > crowded).select("key", "c", "asks").join(joined.select(F.col("node").alias("c"), "component"), "c", "left")
+    crowd = crowd.select("key", "c", "asks", F.coalesce("component", "c").alias("g"))
+    per = crowd.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
+    most = per.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max_by("g", F.struct("n", "g")).alias("most")).where("groups > 1")
+    mixed = materialize(crowd.join(most.select("key", "most"), "key").join(classes.select("c", "fp"), "c"), "mixed")
+    side = lambda n: [F.col(x).alias(x + n) for x in ("c", "g", "asks", "fp")]
+    own, every = mixed.where("g <> most").select("key", *side("_a")), mixed.select("key", *side("_b"))
+    near = own.join(every, "key").where("g_a <> g_b AND NOT (asks_a AND asks_b)").where(_apart("fp_a", "fp_b") <= shape.distance)
+    return _ordered(near.select(F.col("c_a").alias("x"), F.col("c_b").alias("y")))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _apart(a: str, b: str) -> Column:
+    """In how many bits two long fingerprints differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def _alike(shingle: int, similarity: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -234,12 +267,25 @@ def _alike(shingle: int, similarity: float):
     return run
 
 
+def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(src, dst) of ``pairs`` (a, b, and the hashes th_a, th_b of a text of each) that are alike by their whole texts."""
+    th = F.xxhash64("text")
+    needed = pairs.select(F.explode(F.array("th_a", "th_b")).alias("th")).distinct()
+    texts = docs.select(th.alias("th"), "text").join(needed, "th", "left_semi").dropDuplicates(["th"])
+    texts = materialize(texts, "texts")
+    both = pairs.join(texts.select(F.col("th").alias("th_a"), F.col("text").alias("x")), "th_a").join(texts.select(F.col("th").alias("th_b"), F.col("text").alias("y")), "th_b")
+    links = both.select("a", "b", "x", "y").mapInPandas(_alike(shingle, similarity), "a long, b long").toDF("src", "dst")
+    return materialize(links, "links")
+
+
 def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 4) -> tuple[DataFrame, DataFrame]:
     """(rows, links): per row of ``docs`` its key, order, th (hash of the text) and c, the class of its set of shingles;
     and (src, dst) of classes whose Jaccard index is ``similarity`` or more.
 
     Candidates meet in a segment of the long fingerprint (see ``layout``), stay if all of it differs in few enough bits
-    (what ``similarity`` lets expect and 3.5 standard deviations more), and are verified on their whole texts.
+    (what ``similarity`` lets expect and 3.5 standard deviations more), and are verified on their whole texts. Where over
+    ``crowded`` classes meet, links between two that other links join already may be left out; the components are those
+    of all candidates, whatever ``crowded`` is.
     """
     shape = layout(docs.count(), similarity)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").cast("long").alias("id"))
@@ -248,15 +294,14 @@ def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     rows = materialize(own.mapInPandas(_classes(shingle, shape.lanes), "key long, order struct<absent:boolean,id:long>, th long, c long, fp array<long>"), "classes")
     classes = materialize(rows.groupBy("c").agg(F.first("fp").alias("fp"), F.min("th").alias("th")), "class-prints")
     side = lambda n: classes.select(F.col("c").alias(n), F.col("fp").alias(f"fp_{n}"), F.col("th").alias(f"th_{n}"))
-    pairs = candidates(classes.select("c", "fp"), shape, crowded=crowded).join(side("a"), "a").join(side("b"), "b")
-    apart = F.aggregate(F.zip_with("fp_a", "fp_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    pairs = materialize(pairs.where(apart <= shape.distance).select("a", "b", "th_a", "th_b"), "close")
-    needed = pairs.select(F.explode(F.array("th_a", "th_b")).alias("th")).distinct()
-    texts = docs.select(th.alias("th"), "text").join(needed, "th", "left_semi").dropDuplicates(["th"])
-    texts = materialize(texts, "texts")
-    both = pairs.join(texts.select(F.col("th").alias("th_a"), F.col("text").alias("x")), "th_a").join(texts.select(F.col("th").alias("th_b"), F.col("text").alias("y")), "th_b")
-    links = both.select("a", "b", "x", "y").mapInPandas(_alike(shingle, similarity), "a long, b long").toDF("src", "dst")
-    return rows, materialize(links, "links")
+    met = meetings(classes.select("c", "fp"), shape)
+    pairs = candidates(met, crowded=crowded).join(side("a"), "a").join(side("b"), "b").where(_apart("fp_a", "fp_b") <= shape.distance)
+    close = materialize(pairs.select("a", "b", "th_a", "th_b"), "close")
+    links = _verified(close, docs, shingle, similarity)
+    rest = strangers(met, connected_components(links), classes, shape, crowded=crowded).join(close, ["a", "b"], "left_anti")
+    named = lambda n: classes.select(F.col("c").alias(n), F.col("th").alias(f"th_{n}"))
+    rest = materialize(rest.join(named("a"), "a").join(named("b"), "b"), "close-rest")
+    return rows, links if rest.isEmpty() else links.union(_verified(rest, docs, shingle, similarity))
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 4) -> DataFrame:

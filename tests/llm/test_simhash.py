@@ -125,7 +125,43 @@ def test_near_copies_by_jaccard(spark, crowded):
     kept = simhash.one_of_each(docs, crowded=crowded)
     assert kept.columns == docs.columns
     n = kept.count()
-    assert groups <= n <= groups + (2 if crowded == 64 else 12)
+    assert groups <= n <= groups + 2
+
+
+def test_crowds_lose_no_component(spark):
+    # Chains of copies, each like its neighbours alone, so few are like a crowd's leaders; and one large group of copies.
+    rng = random.Random(21)
+    texts = []
+    for _ in range(6):
+        words = [f"w{rng.randrange(9000)}" for _ in range(300)]
+        for i in range(25):
+            texts.append(" ".join(words))
+            words[12 * i : 12 * i + 3] = [f"n{rng.randrange(10**6)}" for _ in range(3)]
+    texts += [edited(rng, texts[0], 0.01) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def kept(crowded):
+        return sorted(r.doc_id for r in simhash.one_of_each(docs, crowded=crowded).select("doc_id").collect())
+
+    everything = kept(10**6)
+    assert kept(4) == everything == kept(0) and len(everything) < 20
+
+
+def test_strangers_are_all_pairs_between_components(spark):
+    rng = random.Random(23)
+    shape = simhash.Layout(2, 4, 1, 30)
+    prints = [rng.getrandbits(64) for _ in range(60)]
+    classes = spark.createDataFrame([(i, [p - 2**64 if p >> 63 else p]) for i, p in enumerate(prints)], "c long, fp array<long>")
+    component = {i: min(i, i % 7) if i % 3 else i for i in range(60)}
+    joined = spark.createDataFrame(list(component.items()), "node long, component long").where("node % 3 <> 0")
+    want = set()
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            halves = [(a ^ b) >> 4 * k & 15 for k in range(2)]
+            if any(h.bit_count() <= 1 for h in halves) and (a ^ b).bit_count() <= 30 and component[i] != component[j]:
+                want.add((j, i))
+    found = simhash.strangers(simhash.meetings(classes, shape), joined, classes, shape, crowded=0).collect()
+    assert len(want) > 50 and {(r.a, r.b) for r in found} == want and len(found) == len(want)
 
 
 def test_layouts():
