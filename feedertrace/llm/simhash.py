@@ -181,68 +181,61 @@ def _classes(shingle: int, lanes: int):
     return run
 
 
-def meetings(classes: DataFrame, shape: Layout) -> DataFrame:
-    """(key, n, c, asks): which of ``classes`` (c, fp) meet at a segment's value, ``n`` of them there: those that have it, and
-    those that look it up as one of their ball.
+def _values(classes: DataFrame, shape: Layout) -> DataFrame:
+    """``classes`` (with fp) in a row for each segment: fp gives way to key, the segment's number and value."""
 
-    Of two values that differ in one bit one has an even number of ones, so only odd values look up their ball, among
-    even ones.
-    """
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = [F.lit(1 << i).cast("long") for i in range(shape.width)]
-    lane = lambda i: F.element_at("fp", i + 1)
-
-    def value(i: int) -> Column:
+    def key(i: int) -> Column:
         word, at = divmod(i * shape.width, 64)
+        lane = lambda n: F.element_at("fp", n + 1)
         low = F.shiftrightunsigned(lane(word), at) if at else lane(word)
         both = low.bitwiseOR(F.shiftleft(lane(word + 1), 64 - at)) if at + shape.width > 64 else low
-        return both.bitwiseAND(F.lit((1 << shape.width) - 1).cast("long"))
-
-    values = F.array(*(value(i) for i in range(shape.segments)))
-    own = classes.select("c", F.posexplode(values).alias("i", "v"))
-    key = lambda v: F.col("i").cast("long") * (1 << shape.width) + v
-    held = materialize(own.select("c", "i", "v", key(F.col("v")).alias("key")), "held")
-    sizes = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    ball = F.transform(F.array(*bits), lambda m: key(F.col("v").bitwiseXOR(m)))
-    asked = held.where(F.bit_count("v") % 2 == 1).repartition(parts, "c").select("c", F.explode(ball).alias("key"))
-    # Of the balls little is there: what is not goes in this join, before anything is gathered.
-    even = held.where(F.bit_count("v") % 2 == 0).select("key").distinct()
-    asked = materialize(asked.join(even, "key", "left_semi"), "asked")
-    sizes = sizes.union(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n"))).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
-    rows = held.select("c", "key", F.lit(False).alias("asks")).union(asked.select("c", "key", F.lit(True)))
-    return materialize(rows.join(sizes, "key"), "met")
+        return both.bitwiseAND(F.lit((1 << shape.width) - 1).cast("long")) + (i << shape.width)
+
+    keys = F.array(*(key(i) for i in range(shape.segments)))
+    return classes.select(*(c for c in classes.columns if c != "fp"), F.explode(keys).alias("key"))
 
 
-def candidates(met: DataFrame, *, crowded: int = 4) -> DataFrame:
-    """(a, b) of classes that meet, a < b. Where over ``crowded`` of them do, each is paired with the smallest and the
-    largest class there instead of with each other, see ``strangers``. A crowd of copies meets at many values, and has the
-    same leaders at most of them, so its pairs are in proportion to its size.
+def equal_values(classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFrame:
+    """(a, b): where over ``crowded`` of ``classes`` (c, fp) have a segment's value, each with the smallest and the largest.
+
+    A crowd of copies meets at many values, and has the same leaders at most of them, so its pairs are in proportion to
+    its size. These pairs join crowds early; ``meetings`` has the rest.
     """
-    few = met.where(F.col("n") <= crowded).groupBy("key").agg(F.collect_list(F.when(~F.col("asks"), F.col("c"))).alias("own"), F.collect_list("c").alias("every"))
-    pairs = few.select(F.explode("own").alias("x"), "every").select("x", F.explode("every").alias("y"))
-    crowd = met.where(F.col("n") > crowded).select("key", F.col("c").alias("x"))
-    leaders = crowd.groupBy("key").agg(F.min("x").alias("least"), F.max("x").alias("most"))
-    many = crowd.join(leaders, "key").select("x", F.explode(F.array("least", "most")).alias("y")).distinct()
-    return _ordered(pairs.union(many).where("x <> y"))
+    held = materialize(_values(classes.select("c", "fp"), shape), "held")
+    leaders = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least"), F.max("c").alias("most")).where(F.col("n") > crowded).drop("n")
+    return _ordered(held.join(leaders, "key").select(F.col("c").alias("x"), F.explode(F.array("least", "most")).alias("y")).where("x <> y"))
 
 
-def strangers(met: DataFrame, joined: DataFrame, classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFrame:
-    """(a, b): the pairs of a crowded value that ``candidates`` left out, but for those that ``joined`` (node, component)
-    has in one component already; their fingerprints are close.
+def meetings(classes: DataFrame, shape: Layout, *, crowded: int = 4) -> DataFrame:
+    """(a, b) of ``classes`` (c, fp, g) that share a segment of the long fingerprint up to one bit and differ in g, a < b.
 
-    Of each value the largest component's classes are not paired among each other: the others are held against all there.
-    So a crowd that its leaders have joined costs nothing here, and a chance guest of it one row's comparisons. The
-    comparison of fingerprints is in the join itself; what is not close is not made a row.
+    Of two values that differ in one bit one has an even number of ones, so only odd values look up their ball, among
+    even ones. A value whose classes are all of one g is done with. Where over ``crowded`` classes meet, those of the
+    most frequent g there are not held against each other, but all others against all there; their complete
+    fingerprints are compared in the join itself, and what is not close makes no row. So a crowd of one g costs nothing
+    here, and a chance guest of it one row's comparisons.
     """
-    crowd = met.where(F.col("n") > crowded).select("key", "c", "asks").join(joined.select(F.col("node").alias("c"), "component"), "c", "left")
-    crowd = crowd.select("key", "c", "asks", F.coalesce("component", "c").alias("g"))
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = materialize(_values(classes.select("c", "g", "fp"), shape), "held-groups")
+    odd = F.bit_count(F.col("key").bitwiseAND(F.lit((1 << shape.width) - 1).cast("long"))) % 2 == 1
+    ball = F.transform(F.array(*(F.lit(1 << i).cast("long") for i in range(shape.width))), lambda m: F.col("key").bitwiseXOR(m))
+    asked = held.where(odd).repartition(parts, "c").select("c", "g", F.explode(ball).alias("key"))
+    # Of the balls little is there: what is not goes in this join, before anything is gathered.
+    asked = materialize(asked.join(held.where(~odd).select("key").distinct(), "key", "left_semi"), "asked")
+    rows = held.select("c", "g", "key", F.lit(False).alias("asks")).union(asked.select("c", "g", "key", F.lit(True)))
+    mixed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("key", "n")
+    met = materialize(rows.join(mixed, "key"), "met")
+    who = F.struct("c", "g")
+    few = met.where(F.col("n") <= crowded).groupBy("key").agg(F.collect_list(F.when(~F.col("asks"), who)).alias("own"), F.collect_list(who).alias("every"))
+    few = few.select(F.explode("own").alias("x"), "every").select("x", F.explode("every").alias("y")).where("x.g <> y.g")
+    crowd = met.where(F.col("n") > crowded).select("key", "c", "g", "asks")
     per = crowd.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
-    most = per.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max_by("g", F.struct("n", "g")).alias("most")).where("groups > 1")
-    mixed = materialize(crowd.join(most.select("key", "most"), "key").join(classes.select("c", "fp"), "c"), "mixed")
+    crowd = crowd.join(per.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("most")), "key")
+    crowd = materialize(crowd.join(classes.select("c", "fp"), "c"), "crowds")
     side = lambda n: [F.col(x).alias(x + n) for x in ("c", "g", "asks", "fp")]
-    own, every = mixed.where("g <> most").select("key", *side("_a")), mixed.select("key", *side("_b"))
-    near = own.join(every, "key").where("g_a <> g_b AND NOT (asks_a AND asks_b)").where(_apart("fp_a", "fp_b") <= shape.distance)
-    return _ordered(near.select(F.col("c_a").alias("x"), F.col("c_b").alias("y")))
+    near = crowd.where("g <> most").select("key", *side("_a")).join(crowd.select("key", *side("_b")), "key")
+    near = near.where("g_a <> g_b AND NOT (asks_a AND asks_b)").where(_apart("fp_a", "fp_b") <= shape.distance)
+    return _ordered(few.select(F.col("x.c").alias("x"), F.col("y.c").alias("y")).union(near.select("c_a", "c_b")))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -283,9 +276,10 @@ def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     and (src, dst) of classes whose Jaccard index is ``similarity`` or more.
 
     Candidates meet in a segment of the long fingerprint (see ``layout``), stay if all of it differs in few enough bits
-    (what ``similarity`` lets expect and 3.5 standard deviations more), and are verified on their whole texts. Where over
-    ``crowded`` classes meet, links between two that other links join already may be left out; the components are those
-    of all candidates, whatever ``crowded`` is.
+    (what ``similarity`` lets expect and 3.5 standard deviations more), and are verified on their whole texts: first,
+    where over ``crowded`` have a value, these with their leaders, then all that such links have not joined. So of a crowd
+    links between two that others join already may be left out; the components are those of all candidates, whatever
+    ``crowded`` is.
     """
     shape = layout(docs.count(), similarity)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").cast("long").alias("id"))
@@ -294,14 +288,16 @@ def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     rows = materialize(own.mapInPandas(_classes(shingle, shape.lanes), "key long, order struct<absent:boolean,id:long>, th long, c long, fp array<long>"), "classes")
     classes = materialize(rows.groupBy("c").agg(F.first("fp").alias("fp"), F.min("th").alias("th")), "class-prints")
     side = lambda n: classes.select(F.col("c").alias(n), F.col("fp").alias(f"fp_{n}"), F.col("th").alias(f"th_{n}"))
-    met = meetings(classes.select("c", "fp"), shape)
-    pairs = candidates(met, crowded=crowded).join(side("a"), "a").join(side("b"), "b").where(_apart("fp_a", "fp_b") <= shape.distance)
-    close = materialize(pairs.select("a", "b", "th_a", "th_b"), "close")
-    links = _verified(close, docs, shingle, similarity)
-    rest = strangers(met, connected_components(links), classes, shape, crowded=crowded).join(close, ["a", "b"], "left_anti")
-    named = lambda n: classes.select(F.col("c").alias(n), F.col("th").alias(f"th_{n}"))
-    rest = materialize(rest.join(named("a"), "a").join(named("b"), "b"), "close-rest")
-    return rows, links if rest.isEmpty() else links.union(_verified(rest, docs, shingle, similarity))
+
+    def close(pairs: DataFrame, label: str) -> DataFrame:
+        both = pairs.join(side("a"), "a").join(side("b"), "b").where(_apart("fp_a", "fp_b") <= shape.distance)
+        return materialize(both.select("a", "b", "th_a", "th_b"), label)
+
+    first = close(equal_values(classes, shape, crowded=crowded), "close")
+    links = _verified(first, docs, shingle, similarity)
+    groups = classes.join(connected_components(links), classes.c == F.col("node"), "left").select("c", "fp", F.coalesce("component", "c").alias("g"))
+    rest = close(meetings(materialize(groups, "class-groups"), shape, crowded=crowded).join(first, ["a", "b"], "left_anti"), "close-rest")
+    return rows, links.union(_verified(rest, docs, shingle, similarity))
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 4) -> DataFrame:

@@ -147,21 +147,24 @@ def test_crowds_lose_no_component(spark):
     assert kept(4) == everything == kept(0) and len(everything) < 20
 
 
-def test_strangers_are_all_pairs_between_components(spark):
+@pytest.mark.parametrize("crowded", [0, 4, 1000])
+def test_meetings_are_all_pairs_between_groups(spark, crowded):
     rng = random.Random(23)
     shape = simhash.Layout(2, 4, 1, 30)
     prints = [rng.getrandbits(64) for _ in range(60)]
-    classes = spark.createDataFrame([(i, [p - 2**64 if p >> 63 else p]) for i, p in enumerate(prints)], "c long, fp array<long>")
-    component = {i: min(i, i % 7) if i % 3 else i for i in range(60)}
-    joined = spark.createDataFrame(list(component.items()), "node long, component long").where("node % 3 <> 0")
-    want = set()
-    for i, a in enumerate(prints):
-        for j, b in enumerate(prints[:i]):
-            halves = [(a ^ b) >> 4 * k & 15 for k in range(2)]
-            if any(h.bit_count() <= 1 for h in halves) and (a ^ b).bit_count() <= 30 and component[i] != component[j]:
-                want.add((j, i))
-    found = simhash.strangers(simhash.meetings(classes, shape), joined, classes, shape, crowded=0).collect()
-    assert len(want) > 50 and {(r.a, r.b) for r in found} == want and len(found) == len(want)
+    group = [min(i, i % 7) if i % 3 else i for i in range(60)]
+    rows = [(i, [p - 2**64 if p >> 63 else p], g) for i, (p, g) in enumerate(zip(prints, group, strict=True))]
+    classes = spark.createDataFrame(rows, "c long, fp array<long>, g long")
+    apart = lambda a, b: (prints[a] ^ prints[b]).bit_count()
+    meet = [(j, i) for i in range(60) for j in range(i) if any(((prints[i] ^ prints[j]) >> 4 * k & 15).bit_count() <= 1 for k in range(2))]
+    want = {(a, b) for a, b in meet if group[a] != group[b]}
+    found = simhash.meetings(classes, shape, crowded=crowded).collect()
+    got = {(r.a, r.b) for r in found}
+    assert len(got) == len(found) and got <= want
+    assert len(want) > 50 and {p for p in got if apart(*p) <= 30} == {p for p in want if apart(*p) <= 30}
+    leaders = {(r.a, r.b) for r in simhash.equal_values(classes, shape, crowded=1).collect()}
+    assert leaders <= {(a, b) for a, b in meet if any(((prints[a] ^ prints[b]) >> 4 * k & 15) == 0 for k in range(2))}
+    assert {x for p in leaders for x in p} == set(range(60))
 
 
 def test_layouts():
