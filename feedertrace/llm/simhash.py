@@ -79,13 +79,14 @@ def links(classes: DataFrame, *, distance: int = 2, segments: int = 2, crowded:
     table = classes.select("fp", F.posexplode(F.array(*values)).alias("segment", "value"))
     ball = F.array(*(F.lit(m).cast("long") for m in _ball(width, distance // segments)))
     sizes = table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n"))
-    table = materialize(table.join(sizes, ["segment", "value"]).withColumn("crowded", F.col("n") > crowded).drop("n"), "segments")
+    # Spark takes an exploded table for as small as what it was made from and would broadcast it: these joins merge.
+    table = materialize(table.join(sizes.hint("merge"), ["segment", "value"]).withColumn("crowded", F.col("n") > crowded).drop("n"), "segments")
     probes = table.select("segment", F.col("fp").alias("probe"), F.explode(F.transform(ball, lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
     # Crowded values: who is there and who looks there, each once.
     busy = table.where("crowded").select("segment", "value").distinct()
     crowd = table.where("crowded").select("fp").union(probes.join(busy, ["segment", "value"], "left_semi").select(F.col("probe").alias("fp"))).distinct()
     quiet = table.where(~F.col("crowded")).select("segment", "value", "fp")
-    close = quiet.join(probes, ["segment", "value"]).where((F.col("fp") < F.col("probe")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= distance))
+    close = quiet.hint("merge").join(probes, ["segment", "value"]).where((F.col("fp") < F.col("probe")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= distance))
     # The smaller radius leads: two that have a point in it meet the larger radius of all others there.
     lead, rest = distance // 2, distance - distance // 2
     points = lambda masks: F.transform(F.array(*(F.lit(_signed(m)).cast("long") for m in masks)), lambda m: F.col("fp").bitwiseXOR(m))

@@ -66,6 +66,19 @@ def test_links_reach_what_all_pairs_reach(spark, crowded, distance):
     assert all(len(x) == 1 for x in groups.values()) and len({y for x in groups.values() for y in x}) == len(groups)
 
 
+def test_no_exploded_table_is_broadcast(spark):
+    # Its size is estimated as that of what it was made from, so at 0.6 GB of documents the driver ran out of memory.
+    edges = simhash.links(spark.createDataFrame([(i * 3,) for i in range(50)], "fp long"))
+    lines = edges._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    broadcast = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            broadcast += lines[i:below]
+    assert any("Generate" in x for x in lines) and not any("Generate" in x for x in broadcast)
+
+
 def test_near_duplicates(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
