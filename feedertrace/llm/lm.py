@@ -4,7 +4,7 @@ Words and word pairs of the training documents are counted exactly: summed in ea
 summed again. A shard's filter then holds each n-gram once for every level up to that of its count (levels are powers
 of ``BASE``), so that a count is read back by probing level after level until one is missing. Scoring interpolates
 the pair's and the word's estimates from those probes. The filter grows with the corpus; up to ``broadcast_bytes`` it is
-broadcast, beyond that the distinct n-grams go to the shards and their levels come back by a join.
+broadcast, beyond that each stretch of texts sends its distinct n-grams to the shards and gets back a byte for each.
 
 The exact counts of words give a unigram score beside it: the ``frequent`` commonest words are broadcast (a bound on
 the rows), and what a document has of all other words is joined with the table of counts.
@@ -32,6 +32,9 @@ MOST_LEVELS = 64
 SCORED, COUNTED = 500_000, 6_000_000
 #: Shards in a partition of the counts, bytes of input for each partition, and the most partitions.
 SHARDS, INPUT, PARTITIONS = 16, 128 << 20, 50_000
+#: Shards that a stretch of texts asks in one row, and keys that are probed at once.
+GROUP, PROBED = 4, 500_000
+FIELDS = "doc_id long, n_tokens long, known long, logs double, rare array<string>, rare_n array<long>, score double"
 _LOW = np.uint64(0xFFFFFFFF)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -55,6 +58,9 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.sqrt(low * high), 0.0)
 
 
+_COUNTS = count_of(np.arange(MOST_LEVELS + 1))
+
+
 class Batch:
     """The tokens of a batch of texts: each text's words, then the end."""
 
@@ -215,9 +221,9 @@ class Filter:
 
 def interpolate(pair: np.ndarray, context: np.ndarray, word: np.ndarray, total: int, distinct: int, weight: float) -> np.ndarray:
     """log10 of ``weight`` times the pair's estimate and the rest times the word's, from levels."""
-    c, n = count_of(pair), count_of(context)
+    c, n = _COUNTS[pair], _COUNTS[context]
     bigram = np.where(n > 0, np.minimum(c / np.maximum(n, 1), 1.0), 0.0)
-    unigram = np.minimum((count_of(word) + 0.1) / (total + 0.1 * (distinct + 1)), 1.0)
+    unigram = np.minimum((_COUNTS[word] + 0.1) / (total + 0.1 * (distinct + 1)), 1.0)
     return np.log10(weight * bigram + (1 - weight) * unigram)
 
 
@@ -225,72 +231,185 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0)
 
 
+def _row_scores(batch: pd.DataFrame, b: Batch, frequent: dict[bytes, int], bloom, total: int, distinct: int, weight: float) -> pd.DataFrame:
+    """The rows of ``FIELDS`` for a batch with its tokens; ``bloom`` has the levels of its keys."""
+    exact = np.fromiter((frequent.get(t, -1) for t in b.tokens), dtype=np.int64, count=len(b.tokens))
+    of = exact[b.codes]
+    common = of >= 0
+    out = {"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": b.ends - b.starts}
+    out["known"] = _sums(common.astype(np.int64), b.starts)
+    out["logs"] = _sums(np.where(common, np.log10(np.maximum(of, 0) + 0.1), 0.0), b.starts)
+    # What is left of each document: its other words with their counts.
+    doc = np.repeat(np.arange(len(batch)), b.ends - b.starts)[~common]
+    pairs, n = np.unique(doc * len(b.tokens) + b.codes[~common], return_counts=True)
+    cuts = np.searchsorted(pairs, np.arange(len(batch) + 1) * len(b.tokens))
+    names = [b.tokens[c].decode() for c in pairs % max(1, len(b.tokens))]
+    spans = list(zip(cuts, cuts[1:], strict=False))
+    out["rare"], out["rare_n"] = [names[i:j] for i, j in spans], [n[i:j] for i, j in spans]
+    word = bloom.levels(b.words)
+    first = np.flatnonzero(b.codes == b.codes[-1])[:1] if len(batch) else []
+    context = np.roll(word[b.codes], 1)
+    context[b.starts] = word[b.codes[b.ends[0] - 1]] if len(first) else 0
+    out["score"] = _sums(interpolate(bloom.levels(b.pairs), context, word[b.codes], total, distinct, weight), b.starts)
+    return pd.DataFrame(out)
+
+
 def _scored(shared, total: int, distinct: int, weight: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frequent, bloom = shared.value
         for batch in slices(batches, SCORED):
-            b = Batch(batch["text"])
-            exact = np.fromiter((frequent.get(t, -1) for t in b.tokens), dtype=np.int64, count=len(b.tokens))
-            of = exact[b.codes]
-            common = of >= 0
-            out = {"doc_id": batch["doc_id"].astype("Int64"), "n_tokens": b.ends - b.starts}
-            out["known"] = _sums(common.astype(np.int64), b.starts)
-            out["logs"] = _sums(np.where(common, np.log10(np.maximum(of, 0) + 0.1), 0.0), b.starts)
-            # What is left of each document: its other words with their counts.
-            doc = np.repeat(np.arange(len(batch)), b.ends - b.starts)[~common]
-            pairs, n = np.unique(doc * len(b.tokens) + b.codes[~common], return_counts=True)
-            cuts = np.searchsorted(pairs, np.arange(len(batch) + 1) * len(b.tokens))
-            names = [b.tokens[c].decode() for c in pairs % max(1, len(b.tokens))]
-            spans = list(zip(cuts, cuts[1:], strict=False))
-            out["rare"], out["rare_n"] = [names[i:j] for i, j in spans], [n[i:j] for i, j in spans]
-            if bloom is None:
-                out["score"] = 0.0
-            else:
-                word = bloom.levels(b.words)
-                first = np.flatnonzero(b.codes == b.codes[-1])[:1] if len(batch) else []
-                context = np.roll(word[b.codes], 1)
-                context[b.starts] = word[b.codes[b.ends[0] - 1]] if len(first) else 0
-                out["score"] = _sums(interpolate(bloom.levels(b.pairs), context, word[b.codes], total, distinct, weight), b.starts)
-            yield pd.DataFrame(out)
+            yield _row_scores(batch, Batch(batch["text"]), frequent, bloom, total, distinct, weight)
         release()
 
     return run
 
 
-def _ngrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each text's distinct (pair, context, word) with their counts."""
-    for batch in slices(batches, SCORED):
-        b = Batch(batch["text"])
-        doc = np.repeat(batch["rid"].to_numpy(), b.ends - b.starts)
-        rows = pd.DataFrame({"rid": doc, "pair": b.pairs.view(np.int64), "context": b.before.view(np.int64), "word": b.words[b.codes].view(np.int64)})
-        yield rows.value_counts(sort=False).rename("n").reset_index()
+def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows in stretches of about ``COUNTED`` characters, a longer text alone: each a number and its rows, compressed."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+
+    def packed(parts: list[pd.DataFrame], at: int) -> pd.DataFrame:
+        with pa.BufferOutputStream() as out:
+            with pa.ipc.new_stream(out, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                for part in parts:
+                    ids = pa.array(part["doc_id"].astype("Int64"), pa.int64())
+                    writer.write_batch(pa.record_batch([ids, pa.array(part["text"], pa.string(), from_pandas=True)], schema))
+            return pd.DataFrame({"stretch": [(TaskContext.get().partitionId() << 33) + at], "data": [out.getvalue().to_pybytes()]})
+
+    parts, chars, at = [], 0, 0
+    for part in slices(batches, SCORED):
+        parts.append(part)
+        chars += sum(len(x) for x in part["text"] if x) + len(part)
+        if chars >= COUNTED:
+            yield packed(parts, at)
+            parts, chars, at = [], 0, at + 1
+    if parts:
+        yield packed(parts, at)
+    release()
+
+
+def _unpacked(data: bytes) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
+
+    for batch in pa.ipc.open_stream(data):
+        yield batch.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+
+
+def _keys(batches: list[Batch]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a stretch in order, and for each key of the batches (pairs, then words) its place there."""
+    codes, distinct = pd.factorize(np.concatenate([x for b in batches for x in (b.pairs, b.words)]))
+    order = np.argsort(distinct)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place[codes]
+
+
+def _asks(shards: int):
+    """What a stretch asks of each group of ``GROUP`` shards: its distinct keys there, in order."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for stretch, data in zip(frame["stretch"], frame["data"], strict=True):
+                keys, _ = _keys([Batch(x["text"]) for x in _unpacked(data)])
+                groups, at = np.unique(shard_of(keys, shards) // GROUP, return_index=True)
+                yield pd.DataFrame({"part": groups.astype(np.int32), "stretch": stretch, "data": [keys[i:j].tobytes() for i, j in zip(at, [*at[1:], len(keys)], strict=True)]})
+        release()
+
+    return run
+
+
+def _answers(shards: int):
+    """Of rows in the order of groups, a group's filters first: the levels of what each stretch asks, a byte a key."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, own, found = None, [], None
 
+        def answered(asked: list[tuple[int, np.ndarray]]) -> Iterator[pd.DataFrame]:
+            """One probe for what many stretches ask: each asks little of a group."""
+            nonlocal found
+            if asked:
+                found = found or Filter(shards, own)
+                levels = found.levels(np.concatenate([k for _, k in asked])).astype(np.uint8)
+                cuts = np.cumsum([len(k) for _, k in asked])[:-1]
+                yield pd.DataFrame({"stretch": [x for x, _ in asked], "part": now, "data": [x.tobytes() for x in np.split(levels, cuts)]})
 
-def _probe(shards: int):
-    def run(key, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found = Filter(shards, zip(own["shard"], own["filter"], strict=True))
-        keys = asked["key"].to_numpy(dtype=np.int64)
-        return pd.DataFrame({"key": keys, "level": found.levels(keys.view(np.uint64))})
+        for batch in batches:
+            asked, n = [], 0
+            for part, stretch, shard, data in zip(batch["part"], batch["stretch"], batch["shard"], batch["data"], strict=True):
+                if part != now or n > PROBED:
+                    yield from answered(asked)
+                    asked, n = [], 0
+                if part != now:
+                    now, own, found = part, [], None
+                if shard >= 0:
+                    own.append((shard, bytes(data)))
+                else:
+                    asked.append((stretch, np.frombuffer(data, dtype=np.uint64)))
+                    n += len(asked[-1][1])
+            yield from answered(asked)
+        release()
 
     return run
 
 
-def _apart(docs: DataFrame, filters: DataFrame, shards: int, total: int, distinct: int, weight: float) -> DataFrame:
-    """rid and score without a broadcast: distinct n-grams are probed at their shard, and levels are joined back."""
-    grams = materialize(docs.select("rid", "text").mapInPandas(_ngrams, "rid long, pair long, context long, word long, n long"), "ngrams")
-    keys = grams.select(F.explode(F.array("pair", "context", "word")).alias("key")).distinct()
-    shard = F.shiftright(F.shiftrightunsigned("key", 32) * shards, 32).cast("int")
-    answers = filters.groupBy("shard").cogroup(keys.withColumn("shard", shard).groupBy("shard")).applyInPandas(_probe(shards), "key long, level long")
-    answers = materialize(answers.where("level > 0"), "levels")
-    for c in ("pair", "context", "word"):
-        grams = grams.join(answers.select(F.col("key").alias(c), F.col("level").alias(f"{c}_level")), c, "left").fillna({f"{c}_level": 0})
+class Answers:
+    """The levels of a batch's keys, in place of the whole filter."""
+
+    def __init__(self, b: Batch, levels: np.ndarray):
+        self.held = {id(b.pairs): levels[: len(b.pairs)], id(b.words): levels[len(b.pairs) :]}
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        return self.held[id(keys)]
+
+
+def _rescored(shared, total: int, distinct: int, weight: float):
+    """Of rows in the order of stretches, a stretch's answers first: what ``_scored`` gives for its texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            logs = interpolate(b["pair_level"].to_numpy(), b["context_level"].to_numpy(), b["word_level"].to_numpy(), total, distinct, weight)
-            yield pd.DataFrame({"rid": b["rid"], "score": logs * b["n"]})
+        frequent, _ = shared.value
+        now, found = None, []
+        for batch in batches:
+            for stretch, part, data in zip(batch["stretch"], batch["part"], batch["data"], strict=True):
+                if stretch != now:
+                    now, found = stretch, []
+                if part >= 0:
+                    found.append((part, bytes(data)))
+                    continue
+                parts = [(x, Batch(x["text"])) for x in _unpacked(data)]
+                keys, place = _keys([b for _, b in parts])
+                held = np.frombuffer(b"".join(x for _, x in sorted(found)), dtype=np.uint8)
+                if len(held) != len(keys):
+                    raise ValueError(f"{len(held)} answers for {len(keys)} keys")
+                at = 0
+                for x, b in parts:
+                    to = at + len(b.pairs) + len(b.words)
+                    yield _row_scores(x, b, frequent, Answers(b, held[place[at:to]]), total, distinct, weight)
+                    at = to
+                found = []
+        release()
+        release()
 
-    return grams.select("rid", "n", "pair_level", "context_level", "word_level").mapInPandas(run, "rid long, score double").groupBy("rid").agg(F.sum("score").alias("score"))
+    return run
+
+
+def _apart(source: DataFrame, filters: DataFrame, shards: int, partitions: int, scores) -> DataFrame:
+    """What ``scores`` gives, without a broadcast of the filter.
+
+    Each stretch of texts asks the shards for its distinct keys and gets a byte for each; the order of the keys, which it
+    finds again from its texts, says whose they are. So of all n-grams one shuffle of 8 bytes a distinct key of a stretch
+    is made, and the texts are dealt once, compressed.
+    """
+    stretches = materialize(source.mapInPandas(_stretches, "stretch long, data binary"), "stretches")
+    asks = stretches.mapInPandas(_asks(shards), "part int, stretch long, data binary")
+    none = F.lit(-1)
+    rows = filters.select(F.floor(F.col("shard") / GROUP).cast("int").alias("part"), F.lit(-1).cast("long").alias("stretch"), "shard", F.col("filter").alias("data"))
+    rows = rows.union(asks.select("part", "stretch", none.alias("shard"), "data")).repartition(partitions, "part").sortWithinPartitions("part", F.col("shard") < 0)
+    answers = materialize(rows.mapInPandas(_answers(shards), "stretch long, part int, data binary"), "answers", drop_shuffles=True)
+    rows = answers.union(stretches.select("stretch", none.alias("part"), "data")).repartition(partitions, "stretch").sortWithinPartitions("stretch", F.col("part") < 0)
+    return rows.mapInPandas(scores, FIELDS)
 
 
 def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weight: float = 0.6, frequent: int = 50_000, broadcast_bytes: int = 128 << 20) -> DataFrame:
@@ -307,7 +426,7 @@ def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weig
     shards = SHARDS * partitions
     training = source.where(fold(F.col("doc_id"), folds) != held_out).select("text")
     counted = training.mapInPandas(_counted(shards), "shard int, keys binary, counts binary, words binary").repartition(partitions, "shard").sortWithinPartitions("shard")
-    model = materialize(counted.mapInPandas(_shards, "token string, n long, shard int, size long, filter binary"), "model")
+    model = materialize(counted.mapInPandas(_shards, "token string, n long, shard int, size long, filter binary"), "model", drop_shuffles=True)
     words = model.where("token is not null").select("token", "n")
     filters = model.where("token is null").select("shard", "size", "filter")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -315,20 +434,16 @@ def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weig
     top = {r.token.encode(): r.n for r in words.orderBy(F.desc("n"), "token").limit(frequent).collect()}
     bloom = Filter(shards, ((r.shard, bytes(r.filter)) for r in filters.select("shard", "filter").toLocalIterator())) if size <= broadcast_bytes else None
     shared = spark.sparkContext.broadcast((top, bloom))
-    fields = "doc_id long, n_tokens long, known long, logs double, rare array<string>, rare_n array<long>, score double"
     if bloom is None:
-        source = materialize(source.withColumn("rid", F.monotonically_increasing_id()), "numbered")
-        scored = source.mapInPandas(_with_rid(_scored(shared, total, distinct, weight)), f"rid long, {fields}")
+        scored = _apart(source, filters, shards, partitions, _rescored(shared, total, distinct, weight))
     else:
-        scored = source.mapInPandas(_scored(shared, total, distinct, weight), fields).withColumn("rid", F.monotonically_increasing_id())
-    scored = materialize(scored, "scored")
+        scored = source.mapInPandas(_scored(shared, total, distinct, weight), FIELDS)
+    scored = materialize(scored.withColumn("rid", F.monotonically_increasing_id()), "scored", drop_shuffles=True)
     rare = scored.select("rid", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("rid", F.col("x.rare").alias("token"), F.col("x.rare_n").alias("tf"))
     rare = rare.join(words, "token", "left").groupBy("rid").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"), F.sum(F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("rare_logs")
     )
     out = scored.drop("rare", "rare_n").join(rare, "rid", "left")
-    if bloom is None:
-        out = out.drop("score").join(_apart(source, filters, shards, total, distinct, weight), "rid")
     return out.select(
         "doc_id",
         (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
@@ -338,14 +453,3 @@ def score_documents(docs: DataFrame, *, folds: int = 10, held_out: int = 0, weig
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(total + 0.1 * (distinct + 1)))).alias("base_score"),
         "score",
     )
-
-
-def _with_rid(run):
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rid, at = batch["rid"].to_numpy(), 0
-            for out in run(iter([batch])):
-                yield out.assign(rid=rid[at : at + len(out)])
-                at += len(out)
-
-    return keep

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode and an error elsewhere:
@@ -24,15 +26,23 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, *, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     The plan above then no longer depends on what came before: a lost executor costs its tasks alone, and a
-    second reader does not compute it again. Files stay until the shared folder is cleared.
+    second reader does not compute it again. Files stay until the shared folder is cleared. ``drop_shuffles``: the
+    write's own shuffle files go when it is done, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if drop_shuffles:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -58,6 +59,26 @@ def test_model_prefers_likely_texts_and_both_ways_agree(spark):
     assert {k: round(v, 9) for k, v in near.items()} == {k: round(v, 9) for k, v in far.items()}
 
 
+def test_far_way_writes_little(spark, monkeypatch):
+    # A table of each text's n-grams took several times the input, so 6 GB did not fit a disk of four times that.
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.5)) % 5000}" for _ in range(rng.randrange(0, 400)))) for i in range(2000)]
+    docs = spark.createDataFrame([*rows, (None, "w1 w2"), (3000, None), (3, "w7")], "doc_id long, text string")
+    written, write = {}, lm.materialize
+
+    def materialize(df, label, **how):
+        out = write(df, label, **how)
+        written[label] = sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(lm, "materialize", materialize)
+    near = sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm.score_documents(docs, frequent=3000).collect())
+    written.clear()
+    far = sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm.score_documents(docs, frequent=3000, broadcast_bytes=0).collect())
+    assert near == far and len(far) == 2003
+    assert sum(n for label, n in written.items() if label != "model") < 1.2 * sum(len(t) for _, t in rows)
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, token string, n int"
     assert lm.score_documents(spark.createDataFrame([], schema)).count() == 0
