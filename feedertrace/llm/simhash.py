@@ -288,6 +288,12 @@ def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     ``crowded`` classes meet, links between two that other links join already may be left out; the components are those
     of all candidates, whatever ``crowded`` is.
     """
+    rows, links, _ = _joined(docs, shingle, similarity, crowded)
+    return rows, links
+
+
+def _joined(docs: DataFrame, shingle: int, similarity: float, crowded: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``similar_classes``, and (node, component) of its links."""
     shape = layout(docs.count(), similarity)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").cast("long").alias("id"))
     key, th = F.xxhash64(F.col("doc_id").isNull(), "doc_id"), F.xxhash64("text")
@@ -299,10 +305,15 @@ def similar_classes(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.
     pairs = candidates(met, crowded=crowded).join(side("a"), "a").join(side("b"), "b").where(_apart("fp_a", "fp_b") <= shape.distance)
     close = materialize(pairs.select("a", "b", "th_a", "th_b"), "close")
     links = _verified(close, docs, shingle, similarity)
-    rest = strangers(met, connected_components(links), classes, shape, crowded=crowded).join(close, ["a", "b"], "left_anti")
+    joined = connected_components(links)
+    rest = strangers(met, joined, classes, shape, crowded=crowded).join(close, ["a", "b"], "left_anti")
     named = lambda n: classes.select(F.col("c").alias(n), F.col("th").alias(f"th_{n}"))
     rest = materialize(rest.join(named("a"), "a").join(named("b"), "b"), "close-rest")
-    return rows, links if rest.isEmpty() else links.union(_verified(rest, docs, shingle, similarity))
+    if rest.isEmpty():
+        return rows, links, joined
+    more = _verified(rest, docs, shingle, similarity)
+    # The components so far are stars: with what is new they join in fewer steps than all links from the start.
+    return rows, links.union(more), joined if more.isEmpty() else connected_components(joined.toDF("src", "dst").union(more))
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, crowded: int = 4) -> DataFrame:
@@ -313,8 +324,7 @@ def one_of_each(docs: DataFrame, *, shingle: int = 5, similarity: float = 0.8, c
     both one stays. Texts without words are alike; one of them stays. Very long texts are taken whole. An empty table
     gives an empty one.
     """
-    rows, links = similar_classes(docs, shingle=shingle, similarity=similarity, crowded=crowded)
-    joined = connected_components(links)
+    rows, _, joined = _joined(docs, shingle, similarity, crowded)
     place = F.struct("order", "th", "key")
     # Only rows of classes with several rows, or with a link, can go.
     per = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"))

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Of the largest heap that the driver may have: from there on it is collected.
+_HEAP_SHARE = 0.5
+#: The heap's size after that.
+_heap = 0
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,6 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+def relieve(spark: SparkSession) -> None:
+    """Collect the driver's garbage where its heap has grown past ``_HEAP_SHARE`` since it was last collected.
+
+    Each plan leaves broadcasts, task binaries and results behind. The JVM rather grows than collects them, up to its
+    limit, and gives nothing back by itself; a whole collection does, and Spark's cleaner then drops what no plan uses.
+    """
+    global _heap
+    jvm = spark.sparkContext._jvm
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > max(_heap, _HEAP_SHARE * runtime.maxMemory()):
+        jvm.java.lang.System.gc()
+        _heap = runtime.totalMemory()
+
+
 def materialize(df: DataFrame, label: str, *, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -43,13 +61,16 @@ def materialize(df: DataFrame, label: str, *, drop_shuffles: bool = False) -> Da
     finally:
         if drop_shuffles:
             spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    relieve(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable ``checkpoint()`` in the shared folder: keeps partitions and their row order."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    relieve(df.sparkSession)
+    return out
 
 
 def source_bytes(df: DataFrame) -> int | None:

@@ -198,3 +198,14 @@ def test_edges(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     rows = simhash.near_duplicates(spark.createDataFrame([(None, "a b"), (3, "a b"), (3, "a b"), (None, "q")], schema)).collect()
     assert sorted((r.doc_id is None, r.component_id) for r in rows if r.component_id) == [(False, 3), (False, 3), (True, 3)] and len(rows) == 4
+
+
+def test_components_are_made_once(spark, monkeypatch):
+    # With nothing left over by the leaders, the links' components serve; else only their stars and the new links meet.
+    rng = random.Random(31)
+    given, plain = [], simhash.connected_components
+    monkeypatch.setattr(simhash, "connected_components", lambda e: given.append(e.count()) or plain(e))
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(100)) for _ in range(6)]
+    texts += [edited(rng, t, 0.01) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == list(range(6)) and len(given) == 1
